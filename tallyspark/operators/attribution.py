@@ -98,7 +98,10 @@ def _routes(
     """Paths with raw decay: those of ordinary accounts, those of hot accounts."""
     conversions = converted_accounts(stg_plg)
     cold, hot, hot_ids = _split(stg_touches, params)
-    hot_joined = salted_join(conversions, hot, "account_id", "inner", hot_ids, params.hot_keys)
+    hot_conversions = conversions.join(F.broadcast(hot_ids), "account_id", "left_semi")
+    hot_joined = salted_join(
+        hot_conversions, hot, "account_id", "inner", hot_ids, params.hot_keys
+    )
     return (
         _with_raw_decay(_paths(cold.join(conversions, "account_id")), params),
         _with_raw_decay(_paths(hot_joined), params),
@@ -114,7 +117,7 @@ def touch_order(
     second sort; equal timestamps are ordered by touch id in both directions.
     """
     cold, hot = _routes(stg_touches, stg_plg, params)
-    # One row per hot account, so at most 1 / share rows: safe to broadcast.
+    # One row per hot account, so at most max_keys rows: safe to broadcast.
     totals = hot.groupBy("account_id").agg(
         F.count("*").alias(_TOTAL), exact_sum(_RAW, WEIGHT).alias(_SUM_RAW)
     )
@@ -182,7 +185,7 @@ def mta_daily(
     cells = hot.groupBy("account_id", "touch_date", "channel", _RAW).agg(
         F.count("*").alias("_n"), F.min(touch).alias("_first"), F.max(touch).alias("_last")
     )
-    # One row per hot account, so at most 1 / share rows: safe to broadcast.
+    # One row per hot account, so at most max_keys rows: safe to broadcast.
     totals = cells.groupBy("account_id").agg(
         F.sum("_n").alias(_TOTAL),
         F.sum(F.col(_RAW).cast(WEIGHT) * F.col("_n")).cast("double").alias(_SUM_RAW),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.scalar import MONEY
@@ -101,14 +101,25 @@ def files_present(spark: SparkSession, folder: str, names: Sequence[str]) -> Dat
     )
 
 
-def report(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """All checks as rows ``check_name, n_violations, passed``: one job for the lot."""
-    counted = [
-        rows.agg(F.count("*").alias("n_violations")).select(
-            F.lit(name).alias("check_name"), "n_violations"
+def row_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """Count the rows that break each condition, all conditions in one pass."""
+    broken = [F.count(F.when(condition, 1)).alias(str(i)) for i, condition in enumerate(checks.values())]
+    rows = F.array(
+        *(
+            F.struct(F.lit(name).alias("check_name"), F.col(str(i)).alias("n_violations"))
+            for i, name in enumerate(checks)
         )
-        for name, rows in checks.items()
-    ]
-    return reduce(DataFrame.unionByName, counted).withColumn(
-        "passed", F.col("n_violations") == 0
     )
+    return df.agg(*broken).select(F.inline(rows))
+
+
+def counted(name: str, violations: DataFrame) -> DataFrame:
+    """One row: how many violating rows a check returned."""
+    return violations.agg(F.count("*").alias("n_violations")).select(
+        F.lit(name).alias("check_name"), "n_violations"
+    )
+
+
+def report(results: Sequence[DataFrame]) -> DataFrame:
+    """Results of :func:`row_checks` and :func:`counted` as ``check_name, n_violations, passed``."""
+    return reduce(DataFrame.unionByName, results).withColumn("passed", F.col("n_violations") == 0)

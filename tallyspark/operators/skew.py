@@ -13,14 +13,16 @@ _FOUND = "_found"
 
 
 def hot_keys(df: DataFrame, key: str, policy: HotKeyPolicy) -> DataFrame:
-    """Keys that hold at least ``policy.share`` of the rows (at most ``1/share`` keys).
+    """The heaviest keys: those with ``min_rows`` rows, at most ``max_keys`` of them.
 
-    Reads only the key column and counts map-side before shuffling.  The answer
-    is an exact function of the data, so evaluating it twice gives the same set.
+    Reads only the key column and counts map-side before shuffling.  The list is
+    an exact function of the data, so evaluating it twice gives the same set.  It
+    only chooses a route: a key left out is handled the ordinary way, and holds
+    less than ``1 / max_keys`` of all rows (or fewer than ``min_rows``).
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    floor = counts.agg(F.sum("_n") * F.lit(policy.share)).scalar()
-    return counts.where((F.col("_n") >= policy.min_rows) & (F.col("_n") >= floor)).select(key)
+    heavy = counts.where(F.col("_n") >= policy.min_rows)
+    return heavy.orderBy(F.desc("_n"), key).limit(policy.max_keys).select(key)
 
 
 def flag_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:

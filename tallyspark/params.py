@@ -48,13 +48,13 @@ MAX_STORIES = 20
 class HotKeyPolicy:
     """When is a key "hot", and into how many pieces are its rows split.
 
-    A key is hot if it holds at least ``share`` of all rows *and* at least
-    ``min_rows``.  At most ``1 / share`` keys can satisfy the first condition,
-    whatever the data looks like, so the hot-key list may always be broadcast.
+    The ``max_keys`` heaviest keys with at least ``min_rows`` rows are hot.  The
+    list has at most ``max_keys`` entries whatever the data looks like, so it may
+    be broadcast; any key not in it holds less than ``1 / max_keys`` of the rows.
     """
 
-    share: float = 1e-5
     min_rows: int = 1_000_000
+    max_keys: int = 10_000
     pieces: int = 256
 
 

@@ -34,7 +34,7 @@ class MeasurementModels:
 
     def __init__(
         self,
-        raw: RawTables,
+        raw,  # RawTables, or any object with its attributes
         params: MeasurementParams = DEFAULTS,
         repo_name: str = "owner/repository",
     ):

@@ -17,7 +17,7 @@ from tallyspark.params import HotKeyPolicy
 from tallyspark.plans import exports, marts
 from tallyspark.queries import inputs
 from tallyspark.queries.sql import with_tables
-from tallyspark.session import shared_folder
+from tallyspark.session import materialize, shared_folder
 from tallyspark.sources import api, files, schemas
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,7 @@ model(
            case when quote_currency = 'USD' then 1 when rate > 0 then 1 / rate end as rate_to_usd
     from fx
     """,
+    inputs.order_world,
 )
 model(
     "stg_github_telemetry",
@@ -86,7 +87,7 @@ model(
     "select *, round(points * 1.5::double + num_comments * 2, 2) as buzz_score from e_buzz",
 )
 def stg_buzz_score(spark, sf):
-    return staging.buzz_scored(inputs.event_buzz(spark, sf))
+    return staging.buzz_scored(inputs.EventTables(spark, sf).hackernews_buzz)
 
 
 # ------------------------------------------------------------ adstock and saturation
@@ -235,7 +236,7 @@ model("mta_daily_orders", "mta_daily", "from o_mta", inputs.order_world)
 
 # The same models with a policy that treats many accounts as hot, so that the
 # second route carries rows at any scale.
-_EAGER_HOT = HotKeyPolicy(share=0.0, min_rows=70, pieces=8)
+_EAGER_HOT = HotKeyPolicy(min_rows=70, pieces=8)
 
 
 def _hot_world(spark, sf):
@@ -308,7 +309,7 @@ def platform_bias(spark, sf):
     """,
 )
 def ratio_cpc_ctr(spark, sf):
-    return inputs.table(spark, sf, "lineitem").select(
+    return inputs.Tables(spark, sf)["lineitem"].select(
         "l_orderkey",
         "l_linenumber",
         round_n(safe_ratio("l_extendedprice", "l_discount"), 2).alias("cpc_usd"),
@@ -419,17 +420,17 @@ def label_format(spark, sf):
 
 @query("latest_snapshot_row", "from e_repo order by fetched_at desc limit 1")
 def latest_snapshot_row(spark, sf):
-    return exports.latest_snapshot(inputs.event_repo_snapshots(spark, sf))
+    return exports.latest_snapshot(inputs.EventTables(spark, sf).github_telemetry)
 
 
 @query("buzz_top5", "from e_buzz order by points desc, title limit 5")
 def buzz_top5(spark, sf):
-    return exports.top_stories(inputs.event_buzz(spark, sf))
+    return exports.top_stories(inputs.EventTables(spark, sf).hackernews_buzz)
 
 
 @query("fx_extract", "select quote_currency, rate from fx")
 def fx_extract(spark, sf):
-    return exports.fx_extract(inputs.fx_quotes(spark, sf))
+    return exports.fx_extract(inputs.OrderTables(spark, sf).fx_rates)
 
 
 @query(
@@ -437,7 +438,7 @@ def fx_extract(spark, sf):
     "select event_id, ts, row_number() over (order by ts desc, event_id) as story_id from events",
 )
 def global_rank_distributed(spark, sf):
-    rows = inputs.table(spark, sf, "events").select("event_id", "ts")
+    rows = inputs.Tables(spark, sf)["events"].select("event_id", "ts")
     return distributed_row_number(
         rows, [F.col("ts").desc_nulls_last(), F.col("event_id").asc()], "story_id"
     )
@@ -452,7 +453,7 @@ def global_rank_distributed(spark, sf):
 )
 def src_csv_scan(spark, sf):
     path = shared_folder(spark, "csv-touches")
-    files.write_csv(inputs.event_touches(spark, sf), path)
+    files.write_csv(inputs.EventTables(spark, sf).touchpoints, path)
     return files.scan_csv(spark, path, schemas.TOUCHPOINTS)
 
 
@@ -461,7 +462,7 @@ def src_csv_quoted(spark, sf):
     """Whole texts with commas, quotes and line breaks through a delimited file."""
     path = shared_folder(spark, "csv-texts")
     files.write_csv(
-        inputs.table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), path
+        inputs.Tables(spark, sf)["documents"].select("doc_id", "text", "lang", "source"), path
     )
     schema = "doc_id bigint, text string, lang string, source string"
     return files.scan_csv(spark, path, schema, multi_line=True)
@@ -470,7 +471,7 @@ def src_csv_quoted(spark, sf):
 @query("src_csv_infer", "from e_spend")
 def src_csv_infer(spark, sf):
     path = shared_folder(spark, "csv-spend")
-    files.write_csv(inputs.event_spend(spark, sf), path)
+    files.write_csv(inputs.EventTables(spark, sf).marketing_spend, path)
     return files.infer_csv(spark, path)
 
 
@@ -493,7 +494,7 @@ def src_json_defaults(spark, sf):
             only("error").alias("open_issues_count"),
         )
     )
-    docs = inputs.events(spark, sf).select("event_id", document.alias("doc"))
+    docs = inputs.EventTables(spark, sf).events.select("event_id", document.alias("doc"))
     return api.object_rows(docs, "doc", keep=["event_id"])
 
 
@@ -517,7 +518,7 @@ def src_json_explode_topn(spark, sf):
             F.col("lang").alias("created_at"),
         ),
     )
-    docs = inputs.table(spark, sf, "documents").select(
+    docs = inputs.Tables(spark, sf)["documents"].select(
         "doc_id", F.to_json(F.struct(hits.alias("hits"))).alias("doc")
     )
     rows = api.list_rows(docs, "doc", keep=["doc_id"])
@@ -535,7 +536,7 @@ def _rate_documents(spark, sf) -> DataFrame:
     rates = F.struct(
         price.alias("EUR"), F.when(F.col("o_orderstatus") == "O", price / 2).alias("GBP")
     )
-    return inputs.table(spark, sf, "orders").select(
+    return inputs.Tables(spark, sf)["orders"].select(
         "o_orderkey", F.to_json(F.struct(rates.alias("rates"))).alias("doc")
     )
 
@@ -577,8 +578,9 @@ def src_json_map_required(spark, sf):
     """,
 )
 def fill_required_members(spark, sf):
-    nation = inputs.table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("member"))
-    rich = inputs.table(spark, sf, "customer").where("c_acctbal > 9900")
+    tables = inputs.Tables(spark, sf)
+    nation = tables["nation"].select("n_nationkey", F.col("n_name").alias("member"))
+    rich = tables["customer"].where("c_acctbal > 9900")
     found = (
         rich.join(nation, rich.c_nationkey == nation.n_nationkey)
         .groupBy("member")
@@ -598,7 +600,7 @@ def fill_required_members(spark, sf):
 )
 def fallback_if_empty(spark, sf):
     """A feed without rows is replaced, a feed with rows is not."""
-    rows = inputs.table(spark, sf, "orders")
+    rows = inputs.Tables(spark, sf)["orders"]
 
     def feed(condition: str) -> DataFrame:
         return rows.where(condition).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
@@ -623,17 +625,18 @@ def mart_materialize_roundtrip(spark, sf):
 
 @query("export_payload_json", _DAILY)
 def export_payload_json(spark, sf):
-    """Write all sections of the payload, read the largest one back."""
+    """Store the daily mart, write all sections of the payload, read the largest one back."""
     w = inputs.event_world(spark, sf)
+    daily = materialize(w.fct_marketing_triangulation_daily, "triangulation")
     sections = {
-        "kpi_summary": w.kpi_summary,
+        "kpi_summary": exports.kpi_summary(daily, w.params),
         "channel_totals": w.channel_totals,
         "saturation_curve": saturation_curve(spark, sf),
         "retention_cohorts": w.export_cohorts,
-        "triangulation_daily": w.export_triangulation_daily,
+        "triangulation_daily": exports.export_triangulation_daily(daily),
         "github": exports.latest_snapshot(w.raw.github_telemetry),
         "hackernews_top5": exports.top_stories(w.raw.hackernews_buzz),
-        "fx_rates": exports.fx_extract(w.raw.fx_rates),
+        "fx_rates": exports.fx_extract(inputs.OrderTables(spark, sf).fx_rates),
     }
     folder = shared_folder(spark, "payload")
     files.write_json_sections(sections, folder)
@@ -660,7 +663,7 @@ def dq_unique(spark, sf):
 
 @query("dq_non_negative", "select c_acctbal as tested_value from customer where c_acctbal < 0")
 def dq_non_negative(spark, sf):
-    return quality.non_negative(inputs.table(spark, sf, "customer"), "c_acctbal")
+    return quality.non_negative(inputs.Tables(spark, sf)["customer"], "c_acctbal")
 
 
 @query(
@@ -714,7 +717,7 @@ def dq_spend_drift(spark, sf):
 )
 def dq_raw_staging_drift(spark, sf):
     staged = inputs.event_world(spark, sf).stg_marketing_ad_spend
-    raw = inputs.table(spark, sf, "events")
+    raw = inputs.Tables(spark, sf)["events"]
     return quality.total_drift(raw, "value", staged, "spend_usd", "spend_drift")
 
 
@@ -728,8 +731,8 @@ def dq_raw_staging_drift(spark, sf):
 def dq_drift_violation(spark, sf):
     """Two totals that do differ: the check must say by how much."""
     return quality.drift_violations(
-        inputs.table(spark, sf, "orders"), "o_totalprice",
-        inputs.table(spark, sf, "lineitem"), "l_extendedprice",
+        inputs.Tables(spark, sf)["orders"], "o_totalprice",
+        inputs.Tables(spark, sf)["lineitem"], "l_extendedprice",
     )
 
 
@@ -747,7 +750,8 @@ _SOURCES = (
     ),
 )
 def dq_row_counts(spark, sf):
-    return quality.row_counts({t: inputs.table(spark, sf, t) for t in _SOURCES})
+    tables = inputs.Tables(spark, sf)
+    return quality.row_counts({t: tables[t] for t in _SOURCES})
 
 
 def _counted(checks: dict[str, str]) -> str:
@@ -777,20 +781,36 @@ def _counted(checks: dict[str, str]) -> str:
     ),
 )
 def dq_report(spark, sf):
+    """As after a nightly run: the marts are stored, then everything is checked."""
     w = inputs.event_world(spark, sf)
-    spend, plg = w.stg_marketing_ad_spend, w.stg_developer_plg_events
-    efficiency, grain = w.fct_channel_efficiency_daily, ["channel", "date_day"]
+    spend, plg, grain = w.stg_marketing_ad_spend, w.stg_developer_plg_events, ["channel", "date_day"]
+    efficiency = materialize(w.fct_channel_efficiency_daily, "efficiency")
     return quality.report(
-        {
-            "spend date not null": quality.not_null(spend, "spend_date"),
-            "spend non-negative": quality.non_negative(spend, "spend_usd"),
-            "mart spend non-negative": quality.non_negative(efficiency, "spend_usd"),
-            "account unique": quality.unique(plg, "account_id"),
-            "project not null": quality.not_null(plg, "project_id"),
-            "campaign unique": quality.unique(w.dim_campaigns, "campaign_id"),
-            "efficiency grain": quality.unique_grain(efficiency, grain),
-            "triangulation grain": quality.unique_grain(w.fct_marketing_triangulation_daily, grain),
-            "weights sum to one": quality.weight_violations(w.int_attribution_paths),
-            "staging equals mart": quality.drift_violations(spend, "spend_usd", efficiency, "spend_usd"),
-        }
+        [
+            quality.row_checks(
+                spend,
+                {
+                    "spend date not null": F.col("spend_date").isNull(),
+                    "spend non-negative": F.col("spend_usd") < 0,
+                },
+            ),
+            quality.row_checks(
+                efficiency, {"mart spend non-negative": F.col("spend_usd") < 0}
+            ),
+            quality.row_checks(plg, {"project not null": F.col("project_id").isNull()}),
+            quality.counted("account unique", quality.unique(plg, "account_id")),
+            quality.counted("campaign unique", quality.unique(w.dim_campaigns, "campaign_id")),
+            quality.counted("efficiency grain", quality.unique_grain(efficiency, grain)),
+            quality.counted(
+                "triangulation grain",
+                quality.unique_grain(w.fct_marketing_triangulation_daily, grain),
+            ),
+            quality.counted(
+                "weights sum to one", quality.weight_violations(w.int_attribution_paths)
+            ),
+            quality.counted(
+                "staging equals mart",
+                quality.drift_violations(spend, "spend_usd", efficiency, "spend_usd"),
+            ),
+        ]
     )

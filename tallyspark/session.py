@@ -15,6 +15,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Do not record a Python call site for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

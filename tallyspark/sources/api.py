@@ -26,15 +26,22 @@ STORY_FIELDS = {
 }
 
 
-def field_or_default(members: Column, name: str, default, type_name: str) -> Column:
-    """A member of a parsed JSON object; the default only if it is *missing*.
+def field_or_default(document: Column, name: str, default, type_name: str) -> Column:
+    """A member of a JSON object; the default only if it is *missing*.
 
     A member that is there with the value null stays NULL.
     """
-    value = F.element_at(members, F.lit(name)).cast(type_name)
-    return F.when(F.map_contains_key(members, F.lit(name)), value).otherwise(
-        F.lit(default).cast(type_name)
-    )
+    path = f"$['{name}']"
+    missing = F.variant_get(document, path, "variant").isNull()
+    value = F.variant_get(document, path, type_name)
+    return F.when(missing, F.lit(default).cast(type_name)).otherwise(value)
+
+
+def _fields(document: Column, fields: Mapping[str, tuple]) -> list[Column]:
+    return [
+        field_or_default(document, name, default, type_name).alias(column)
+        for name, (column, default, type_name) in fields.items()
+    ]
 
 
 def object_rows(
@@ -43,15 +50,9 @@ def object_rows(
     fields: Mapping[str, tuple] = REPO_FIELDS,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One JSON object per row -> one row with named columns."""
-    members = F.from_json(document, "map<string,string>")
-    return df.select(*keep, members.alias("_m")).select(
-        *keep,
-        *(
-            field_or_default(F.col("_m"), name, default, kind).alias(column)
-            for name, (column, default, kind) in fields.items()
-        ),
-    )
+    """One JSON object per row -> one row with named columns; no row for broken JSON."""
+    parsed = df.select(*keep, F.try_parse_json(document).alias("_v"))
+    return parsed.where(F.col("_v").isNotNull()).select(*keep, *_fields(F.col("_v"), fields))
 
 
 def list_rows(
@@ -63,16 +64,10 @@ def list_rows(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``{"hits": [{...}, ...]}`` -> one row for each of the first entries, with its place."""
-    parsed = F.from_json(document, f"struct<`{member}`: array<map<string,string>>>")
-    entries = F.slice(parsed[member], 1, first)
-    return df.select(*keep, F.posexplode(entries).alias("position", "_m")).select(
-        *keep,
-        "position",
-        *(
-            field_or_default(F.col("_m"), name, default, kind).alias(column)
-            for name, (column, default, kind) in fields.items()
-        ),
-    )
+    entries = F.variant_get(F.try_parse_json(document), f"$['{member}']", "array<variant>")
+    return df.select(
+        *keep, F.posexplode(F.slice(entries, 1, first)).alias("position", "_v")
+    ).select(*keep, "position", *_fields(F.col("_v"), fields))
 
 
 def rate_rows(
@@ -88,14 +83,16 @@ def rate_rows(
     Currencies of ``required`` that a document lacks get the value given there.
     This happens inside each document's map: no join, no shuffle.
     """
-    parsed = F.from_json(document, f"struct<`{member}`: map<string,double>>")
-    rates = F.coalesce(parsed[member], F.map_from_arrays(F.array(), F.array()).cast("map<string,double>"))
+    rates = F.variant_get(F.try_parse_json(document), f"$['{member}']", "map<string,double>")
+    parsed = df.select(*keep, rates.alias("_r"))
     if required:
         pairs = [x for name, value in required.items() for x in (F.lit(name), F.lit(float(value)))]
-        missing = F.map_filter(F.create_map(*pairs), lambda k, _: ~F.map_contains_key(F.col("_r"), k))
-        df = df.withColumn("_r", rates)
-        rates = F.map_concat(F.col("_r"), missing)
-    return df.select(*keep, F.explode(rates).alias("quote_currency", "rate")).select(
+        defaults = F.create_map(*pairs)
+        missing = F.map_filter(defaults, lambda name, _: ~F.map_contains_key(F.col("_r"), name))
+        rates = F.when(F.col("_r").isNull(), defaults).otherwise(F.map_concat(F.col("_r"), missing))
+    else:
+        rates = F.col("_r")
+    return parsed.select(*keep, F.explode(rates).alias("quote_currency", "rate")).select(
         *keep, F.lit(base_currency).alias("base_currency"), "quote_currency", "rate"
     )
 
