@@ -3,7 +3,7 @@
 Accounts of ordinary size are handled with windows over the account: one
 shuffle and one sort of the touches.  An account that holds a large share of
 all touches would end up in a single task that way, so such accounts (see
-``HotKeyPolicy``) take a second route: a salted join, per-account totals that
+``HotKeyPolicy``) take a second route: a join in pieces, per-account totals that
 are combined map-side, and row numbers from a range-partitioned sort.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.scalar import WEIGHT, decay, exact_sum, round_n, safe_ratio
 from tallyspark.operators.ranking import distributed_row_number
-from tallyspark.operators.skew import hot_keys, salted_join
+from tallyspark.operators.skew import hot_keys, spread_join
 from tallyspark.params import DEFAULTS, MeasurementParams
 
 _RAW = "time_decay_raw"
@@ -50,16 +50,6 @@ def touches_before_conversion(
     return cold.unionByName(hot).drop(_RAW)
 
 
-def _split(
-    stg_touches: DataFrame, params: MeasurementParams
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    hot_ids = hot_keys(stg_touches, "account_id", params.hot_keys)
-    bounded = F.broadcast(hot_ids)
-    cold = stg_touches.join(bounded, "account_id", "left_anti")
-    hot = stg_touches.join(bounded, "account_id", "left_semi")
-    return cold, hot, hot_ids
-
-
 def _paths(joined: DataFrame) -> DataFrame:
     return joined.where(F.col("touch_date") <= F.col("pro_upgrade_date")).select(*_PATH)
 
@@ -96,16 +86,18 @@ def _routes(
     stg_touches: DataFrame, stg_plg: DataFrame, params: MeasurementParams
 ) -> tuple[DataFrame, DataFrame]:
     """Paths with raw decay: those of ordinary accounts, those of hot accounts."""
+    hot_ids = hot_keys(stg_touches, "account_id", params.hot_keys)
+    is_hot = F.broadcast(hot_ids)
     conversions = converted_accounts(stg_plg)
-    cold, hot, hot_ids = _split(stg_touches, params)
-    hot_conversions = conversions.join(F.broadcast(hot_ids), "account_id", "left_semi")
-    hot_joined = salted_join(
-        hot_conversions, hot, "account_id", "inner", hot_ids, params.hot_keys
-    )
-    return (
-        _with_raw_decay(_paths(cold.join(conversions, "account_id")), params),
-        _with_raw_decay(_paths(hot_joined), params),
+
+    cold = stg_touches.join(is_hot, "account_id", "left_anti").join(conversions, "account_id")
+    hot = spread_join(
+        conversions.join(is_hot, "account_id", "left_semi"),
+        stg_touches.join(is_hot, "account_id", "left_semi"),
+        "account_id",
+        params.hot_keys.pieces,
     )
+    return _with_raw_decay(_paths(cold), params), _with_raw_decay(_paths(hot), params)
 
 
 def touch_order(
@@ -175,41 +167,33 @@ def mta_daily(
     """
     cold, hot = _routes(stg_touches, stg_plg, params)
 
-    cold = _ordered_in_account(cold)
     order = F.col("touch_order_asc")
-    cold = cold.select(
+    credited = _ordered_in_account(cold).select(
         "touch_date", "channel", *_weights(order == 1, order == F.col(_TOTAL))
     )
 
-    touch = F.struct(*_ORDER, "touch_date")
+    touch = F.struct(*_ORDER)
     cells = hot.groupBy("account_id", "touch_date", "channel", _RAW).agg(
-        F.count("*").alias("_n"), F.min(touch).alias("_first"), F.max(touch).alias("_last")
+        F.count("*").alias("_n"), F.min(touch).alias("_min"), F.max(touch).alias("_max")
     )
     # One row per hot account, so at most max_keys rows: safe to broadcast.
     totals = cells.groupBy("account_id").agg(
         F.sum("_n").alias(_TOTAL),
         F.sum(F.col(_RAW).cast(WEIGHT) * F.col("_n")).cast("double").alias(_SUM_RAW),
-        F.min("_first").alias("_first"),
-        F.max("_last").alias("_last"),
+        F.min("_min").alias("_first"),
+        F.max("_max").alias("_last"),
     )
-    hot_shares = (
-        cells.join(F.broadcast(totals.select("account_id", _TOTAL, _SUM_RAW)), "account_id")
-        .select("touch_date", "channel", "_n", *_weights(F.lit(False), F.lit(False)))
-        .select(
-            "touch_date",
-            "channel",
-            *(
-                (F.col(f"{k}_weight").cast(WEIGHT) * F.col("_n")).cast("double").alias(f"{k}_weight")
-                for k in _KINDS
-            ),
-        )
+    # A value of the total order lies in one cell, so each end is credited once.
+    first = F.col("_min").eqNullSafe(F.col("_first"))
+    last = F.col("_max").eqNullSafe(F.col("_last"))
+    per_touch = cells.join(F.broadcast(totals), "account_id").select(
+        "touch_date", "channel", "_n", *_weights(first, last)
     )
-    ends = [
-        totals.select(
-            f"{end}.touch_date",
-            f"{end}.channel",
-            *(F.lit(float(k == kind)).alias(f"{k}_weight") for k in _KINDS),
-        )
-        for end, kind in (("_first", "first_touch"), ("_last", "last_touch"))
+    shares = [
+        (F.col(f"{k}_weight").cast(WEIGHT) * F.col("_n")).cast("double").alias(f"{k}_weight")
+        for k in ("linear", "time_decay")
     ]
-    return _credits(cold.unionByName(hot_shares).unionByName(ends[0]).unionByName(ends[1]))
+    per_cell = per_touch.select(
+        "touch_date", "channel", "first_touch_weight", "last_touch_weight", *shares
+    )
+    return _credits(credited.unionByName(per_cell))

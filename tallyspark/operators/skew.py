@@ -37,49 +37,43 @@ def _piece_of_row(df: DataFrame, pieces: int) -> Column:
     The partition number is part of the hash so that identical rows spread too;
     neither changes when a task is run again.
     """
-    columns = [c for c in df.columns if c != _HOT]
-    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(pieces)).cast("int")
+    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(pieces)).cast("int")
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str,
-    hot: DataFrame,
-    policy: HotKeyPolicy,
-) -> DataFrame:
-    """``left`` joined to ``right`` where hot keys repeat on the *right*.
+def _repeated(df: DataFrame, pieces: Column) -> DataFrame:
+    return df.withColumn(_SALT, F.explode(pieces))
+
+
+def _all_pieces(pieces: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(pieces - 1))
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, pieces: int) -> DataFrame:
+    """Inner join of few left rows with very many right rows per key.
 
-    The right rows of a hot key are dealt into ``pieces`` groups and the left
-    rows of that key are repeated once per group; every other key is joined as
-    usual.  One shuffle per side, no row is dropped.  ``how`` is inner or left.
+    The right rows of every key are dealt into ``pieces`` groups, the left rows
+    are repeated once per group: one shuffle per side, balanced for any key.
     """
-    pieces = policy.pieces
-    salted_left = flag_hot(left, hot, key).withColumn(
-        _SALT,
-        F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
-    salted_right = (
-        flag_hot(right, hot, key)
-        .withColumn(_SALT, F.when(F.col(_HOT), _piece_of_row(right, pieces)).otherwise(0))
-        .drop(_HOT)
-        .withColumn(_FOUND, F.lit(True))
-    )
-    joined = salted_left.join(salted_right, [key, _SALT], how)
-    if how == "left":
-        # A hot key has rows on the right by definition, so an unmatched copy of
-        # a hot left row only means that its piece was empty.
-        joined = joined.where(F.col(_FOUND).isNotNull() | ~F.col(_HOT))
-    return joined.drop(_HOT, _SALT, _FOUND)
+    dealt = right.withColumn(_SALT, _piece_of_row(right, pieces))
+    return _repeated(left, _all_pieces(pieces)).join(dealt, [key, _SALT]).drop(_SALT)
 
 
-def skew_safe_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, policy: HotKeyPolicy
+def skew_safe_left_join(
+    left: DataFrame, right: DataFrame, key: str, policy: HotKeyPolicy
 ) -> DataFrame:
-    """:func:`salted_join` with the hot keys of ``right`` found first."""
-    return salted_join(left, right, key, how, hot_keys(right, key, policy), policy)
+    """``left`` with its ``right`` rows, where single keys may be very frequent on the right.
+
+    Hot keys are joined in pieces as in :func:`spread_join`, all others as usual,
+    in the same join.  No row of either side is dropped.
+    """
+    hot = hot_keys(right, key, policy)
+    pieces = F.when(F.col(_HOT), _all_pieces(policy.pieces)).otherwise(F.array(F.lit(0)))
+    piece = F.when(F.col(_HOT), _piece_of_row(right, policy.pieces)).otherwise(0)
+    dealt = flag_hot(right, hot, key).withColumn(_SALT, piece).drop(_HOT)
+    joined = _repeated(flag_hot(left, hot, key), pieces).join(
+        dealt.withColumn(_FOUND, F.lit(True)), [key, _SALT], "left"
+    )
+    # A hot key has rows on the right by definition, so an unmatched copy of a
+    # hot left row only means that its piece was empty.
+    complete = joined.where(F.col(_FOUND).isNotNull() | ~F.col(_HOT))
+    return complete.drop(_HOT, _SALT, _FOUND)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.scalar import round_n, safe_ratio
 from tallyspark.operators.ranking import distributed_row_number
-from tallyspark.operators.skew import skew_safe_join
+from tallyspark.operators.skew import skew_safe_left_join
 from tallyspark.params import DEFAULTS, MeasurementParams
 
 
@@ -58,7 +58,7 @@ def stg_developer_plg_events(
         F.col("pro_upgrade_date").cast("date").alias("pro_upgrade_date"),
         F.col("monthly_invoice_usd").cast("double").alias("monthly_invoice_usd"),
     )
-    joined = skew_safe_join(accounts, projects, "account_id", "left", params.hot_keys)
+    joined = skew_safe_left_join(accounts, projects, "account_id", params.hot_keys)
     return joined.select(
         "account_id",
         "project_id",

@@ -64,10 +64,16 @@ def list_rows(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``{"hits": [{...}, ...]}`` -> one row for each of the first entries, with its place."""
-    entries = F.variant_get(F.try_parse_json(document), f"$['{member}']", "array<variant>")
-    return df.select(
-        *keep, F.posexplode(F.slice(entries, 1, first)).alias("position", "_v")
-    ).select(*keep, "position", *_fields(F.col("_v"), fields))
+    parsed = df.select(*keep, F.try_parse_json(document).alias("_d"))
+    # Take the entries by place: the rest of a long list is never unpacked.
+    entries = F.array(
+        *(F.variant_get("_d", f"$['{member}'][{i}]", "variant") for i in range(first))
+    )
+    return (
+        parsed.select(*keep, F.posexplode(entries).alias("position", "_v"))
+        .where(F.col("_v").isNotNull())
+        .select(*keep, "position", *_fields(F.col("_v"), fields))
+    )
 
 
 def rate_rows(
