@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyspark.params import MAX_STORIES
 
-_KEY = "_one"
-
 # Field of the document -> (column, value if the field is missing, type)
 REPO_FIELDS = {
     "stargazers_count": ("stars", 72000, "bigint"),
@@ -115,9 +113,8 @@ def fill_required_members(df: DataFrame, key: str, defaults: DataFrame) -> DataF
 def fallback_if_empty(df: DataFrame, fallback: DataFrame) -> DataFrame:
     """``df`` if it has rows, else ``fallback``; decided by Spark at run time.
 
-    One row of ``df`` is enough to drop the whole fallback (an equi-join on a
-    constant against that single row).
+    One row of ``df`` is enough to drop the whole fallback: the filter compares
+    with a subquery that counts at most one row, so nothing is joined.
     """
-    any_row = df.limit(1).select(F.lit(1).alias(_KEY))
-    chosen = fallback.withColumn(_KEY, F.lit(1)).join(any_row, _KEY, "left_anti").drop(_KEY)
-    return df.unionByName(chosen)
+    found = df.limit(1).agg(F.count("*")).scalar()
+    return df.unionByName(fallback.where(found == 0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tallyspark.plans.models import RawTables
 from tallyspark.sources.schemas import RAW_SCHEMAS
@@ -43,17 +45,14 @@ def infer_csv(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> Da
     """A scan that finds the column types itself: one extra pass over the sample.
 
     The default looks at every row; a smaller sample is faster and may guess a
-    type that later rows do not fit.
+    type that later rows do not fit.  Timestamps carry no zone afterwards.
     """
-    return (
-        spark.read.options(
-            **_CSV,
-            inferSchema="true",
-            preferDate="true",
-            samplingRatio=str(sampling_ratio),
-            timestampType="timestamp_ntz",
-        )
-        .csv(path)
+    found = spark.read.options(
+        **_CSV, inferSchema="true", preferDate="true", samplingRatio=str(sampling_ratio)
+    ).csv(path)
+    stamps = {f.name for f in found.schema if f.dataType == TimestampType()}
+    return found.select(
+        *(F.col(c).cast("timestamp_ntz").alias(c) if c in stamps else c for c in found.columns)
     )
 
 
