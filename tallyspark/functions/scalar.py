@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, StringType
 
 MONEY = "decimal(18,6)"  # ad platforms bill in millionths of a currency unit
 WEIGHT = "decimal(18,4)"  # attribution weights are published with four places
@@ -41,10 +42,17 @@ def count_where(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
 
-def to_int(value: Column | str, from_text: bool = False) -> Column:
-    """Integer cast that rounds: text half away from zero, numbers half to even."""
-    number = col(value).cast("double")
-    return (round_n(number, 0) if from_text else F.rint(number)).cast("int")
+def whole_number(df: DataFrame, column: str) -> Column:
+    """64-bit cast that rounds: text half away from zero, fractions half to even.
+
+    (Spark's own cast cuts fractions off and rejects text such as ``12.7``.)
+    """
+    value, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, StringType):
+        value = round_n(value, 0)
+    elif isinstance(kind, FractionalType):
+        value = F.rint(value.cast("double"))
+    return value.cast("long")
 
 
 def hill(spend: Column | str, half_saturation: Column | float) -> Column:

@@ -109,13 +109,14 @@ def touch_order(
     second sort; equal timestamps are ordered by touch id in both directions.
     """
     cold, hot = _routes(stg_touches, stg_plg, params)
+    numbered = distributed_row_number(
+        hot, [F.col(c) for c in _ORDER], "touch_order_asc", partition_by=["account_id"]
+    )
     # One row per hot account, so at most max_keys rows: safe to broadcast.
-    totals = hot.groupBy("account_id").agg(
+    totals = numbered.groupBy("account_id").agg(
         F.count("*").alias(_TOTAL), exact_sum(_RAW, WEIGHT).alias(_SUM_RAW)
     )
-    hot_ordered = distributed_row_number(
-        hot, [F.col(c) for c in _ORDER], "touch_order_asc", partition_by=["account_id"]
-    ).join(F.broadcast(totals), "account_id")
+    hot_ordered = numbered.join(F.broadcast(totals), "account_id")
     both = _ordered_in_account(cold).unionByName(hot_ordered)
     return both.select(
         *_PATH,

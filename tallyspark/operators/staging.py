@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.scalar import round_n, safe_ratio
+from tallyspark.functions.scalar import round_n, safe_ratio, whole_number
 from tallyspark.operators.ranking import distributed_row_number
 from tallyspark.operators.skew import skew_safe_left_join
 from tallyspark.params import DEFAULTS, MeasurementParams
@@ -21,9 +21,9 @@ def stg_marketing_ad_spend(raw_spend: DataFrame) -> DataFrame:
         "channel",
         "region",
         F.col("spend").cast("double").alias("spend_usd"),
-        F.col("impressions").cast("long").alias("impressions"),
-        F.col("clicks").cast("long").alias("clicks"),
-        F.col("platform_reported_conversions").cast("long").alias("platform_conversions"),
+        whole_number(raw_spend, "impressions").alias("impressions"),
+        whole_number(raw_spend, "clicks").alias("clicks"),
+        whole_number(raw_spend, "platform_reported_conversions").alias("platform_conversions"),
         round_n(safe_ratio("spend", "clicks"), 2).alias("cpc_usd"),
         round_n(safe_ratio("clicks", "impressions") * 100, 4).alias("ctr_pct"),
     )
@@ -99,7 +99,7 @@ def stg_github_telemetry(raw_repo: DataFrame, repo_name: str) -> DataFrame:
     return raw_repo.select(
         F.lit(repo_name).alias("repo_name"),
         *(
-            F.col(c).cast("long").alias(f"{c}_count")
+            whole_number(raw_repo, c).alias(f"{c}_count")
             for c in ("stars", "forks", "open_issues", "watchers")
         ),
         F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"),
@@ -112,8 +112,8 @@ def buzz_scored(raw_buzz: DataFrame) -> DataFrame:
     comments = F.col("num_comments").cast("double")
     return raw_buzz.select(
         "title",
-        F.col("points").cast("long").alias("points"),
-        F.col("num_comments").cast("long").alias("num_comments"),
+        whole_number(raw_buzz, "points").alias("points"),
+        whole_number(raw_buzz, "num_comments").alias("num_comments"),
         F.col("created_at").cast("timestamp_ntz").alias("created_at"),
         round_n(points * 1.5 + comments * 2.0, 2).alias("buzz_score"),
     )

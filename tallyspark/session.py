@@ -14,6 +14,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Where every partition of the smaller side is small, join without sorting.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # Do not record a Python call site for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

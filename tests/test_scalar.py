@@ -64,12 +64,19 @@ def test_decay_never_above_one(spark):
 
 
 @pytest.mark.parametrize(
-    "text, number, from_text, want",
-    [("2.5", None, True, 3), ("12.7", None, True, 13), (None, 2.5, False, 2), (None, 3.5, False, 4)],
+    "kind, values, want",
+    [
+        ("string", ["2.5", "12.7", "-2.5", "7", None], [3, 13, -3, 7, None]),
+        ("double", [2.5, 3.5, -2.5, 7.0, None], [2, 4, -2, 7, None]),
+        ("bigint", [2**53 + 1, None], [2**53 + 1, None]),
+    ],
 )
-def test_integer_cast_rounds(spark, text, number, from_text, want):
-    value = F.lit(text if text is not None else number)
-    assert one(spark, S.to_int(value, from_text)) == want
+def test_whole_numbers_round(spark, kind, values, want):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    got = df.orderBy("i").select(S.whole_number(df, "v").alias("v")).collect()
+    assert [r.v for r in got] == want
+    cast = duckdb.execute(f"select unnest(?::{kind.replace('string', 'varchar')}[])::bigint", [values])
+    assert [r[0] for r in cast.fetchall()] == want
 
 
 def test_labels(spark):
