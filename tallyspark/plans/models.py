@@ -9,11 +9,33 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators import adstock, attribution, geo, lifecycle, staging
 from tallyspark.params import DEFAULTS, MeasurementParams
 from tallyspark.plans import exports, marts
+from tallyspark.sources.files import scan_csv, write_table
+from tallyspark.sources.schemas import RAW_SCHEMAS
+
+VIEWS = (
+    "stg_marketing_ad_spend",
+    "stg_developer_plg_events",
+    "stg_touchpoints",
+    "stg_fx_rates",
+    "stg_github_telemetry",
+    "stg_hackernews_buzz",
+    "int_adstock_and_saturation",
+    "int_attribution_paths",
+    "int_geo_experiment_clusters",
+    "int_developer_lifecycle_states",
+)
+MARTS = (
+    "fct_marketing_triangulation_daily",
+    "fct_channel_efficiency_daily",
+    "fct_developer_cohort_retention",
+    "dim_campaigns",
+    "dim_developer_projects",
+)
 
 
 @dataclass(frozen=True)
@@ -28,6 +50,16 @@ class RawTables:
     github_telemetry: DataFrame | None = None
     hackernews_buzz: DataFrame | None = None
 
+    @classmethod
+    def from_csv(cls, spark: SparkSession, folder: str) -> RawTables:
+        """The seven landed files of a folder, typed."""
+        return cls(
+            **{
+                name.removeprefix("raw_"): scan_csv(spark, f"{folder}/{name}.csv", schema)
+                for name, schema in RAW_SCHEMAS.items()
+            }
+        )
+
 
 class MeasurementModels:
     """Lazily composed models over one set of raw tables."""
@@ -42,6 +74,23 @@ class MeasurementModels:
         self.params = params
         self.repo_name = repo_name
 
+    def store(self, folder: str, *names: str) -> MeasurementModels:
+        """Write models as tables (full refresh) and go on from the stored rows.
+
+        Whatever depends on a stored model reads its table instead of computing
+        it again, so store what several later steps share.
+        """
+        for name in names or MARTS:
+            df, path = getattr(self, name), f"{folder}/{name}"
+            write_table(df, path)
+            self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+        return self
+
+    def register_views(self, *names: str) -> None:
+        """Make models queryable by name in SQL; nothing is computed."""
+        for name in names or VIEWS:
+            getattr(self, name).createOrReplaceTempView(name)
+
     # staging
     @cached_property
     def stg_marketing_ad_spend(self) -> DataFrame:

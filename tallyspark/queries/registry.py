@@ -14,10 +14,10 @@ from tallyspark.operators import attribution as att
 from tallyspark.operators import geo, quality, staging
 from tallyspark.operators.ranking import distributed_row_number
 from tallyspark.params import HotKeyPolicy
-from tallyspark.plans import exports, marts
+from tallyspark.plans import checks, exports, marts
 from tallyspark.queries import inputs
 from tallyspark.queries.sql import with_tables
-from tallyspark.session import materialize, shared_folder
+from tallyspark.session import shared_folder
 from tallyspark.sources import api, files, schemas
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -627,13 +627,13 @@ def mart_materialize_roundtrip(spark, sf):
 def export_payload_json(spark, sf):
     """Store the daily mart, write all sections of the payload, read the largest one back."""
     w = inputs.event_world(spark, sf)
-    daily = materialize(w.fct_marketing_triangulation_daily, "triangulation")
+    w.store(shared_folder(spark, "marts"), "fct_marketing_triangulation_daily")
     sections = {
-        "kpi_summary": exports.kpi_summary(daily, w.params),
+        "kpi_summary": w.kpi_summary,
         "channel_totals": w.channel_totals,
         "saturation_curve": saturation_curve(spark, sf),
         "retention_cohorts": w.export_cohorts,
-        "triangulation_daily": exports.export_triangulation_daily(daily),
+        "triangulation_daily": w.export_triangulation_daily,
         "github": exports.latest_snapshot(w.raw.github_telemetry),
         "hackernews_top5": exports.top_stories(w.raw.hackernews_buzz),
         "fx_rates": exports.fx_extract(inputs.OrderTables(spark, sf).fx_rates),
@@ -754,63 +754,55 @@ def dq_row_counts(spark, sf):
     return quality.row_counts({t: tables[t] for t in _SOURCES})
 
 
-def _counted(checks: dict[str, str]) -> str:
+def _report_sql() -> str:
+    sources = {
+        "stg_github_telemetry": "select *, 1 as repo_name, stars as stars_count from e_repo",
+        "stg_hackernews_buzz": "select *, 1 as story_id from e_buzz",
+        "stg_marketing_ad_spend": "from e_stg_spend",
+        "stg_developer_plg_events": "from e_plg",
+        "fct_marketing_triangulation_daily": "from e_tri",
+        "fct_channel_efficiency_daily": "from e_efficiency",
+        "dim_campaigns": "from e_campaigns",
+        "dim_developer_projects": "from e_life",
+    }
+    found = {
+        f"{m}.{c} not null": f"from ({sources[m]}) where {c} is null"
+        for m, columns in checks.NOT_NULL.items()
+        for c in columns
+    }
+    found |= {
+        f"{m}.{c} non-negative": f"from ({sources[m]}) where {c} < 0"
+        for m, columns in checks.NON_NEGATIVE.items()
+        for c in columns
+    }
+    groups = {f"{m}.{c} unique": (m, c) for m, c in checks.UNIQUE.items()}
+    groups |= {f"{m} grain": (m, ", ".join(c)) for m, c in checks.GRAIN.items()}
+    found |= {
+        name: f"select 1 from ({sources[m]}) group by {by} having count(*) > 1"
+        for name, (m, by) in groups.items()
+    }
+    total = "(select sum({}::decimal(18,6)) from {})"
+    raw, staged = total.format("spend", "e_spend"), total.format("spend_usd", "e_stg_spend")
+    mart = total.format("spend_usd", "e_efficiency")
+    found["attribution weights sum to one"] = _WEIGHTS
+    found["raw spend equals staging"] = f"select 1 where {raw} <> {staged}"
+    found["staging spend equals mart"] = f"select 1 where {staged} <> {mart}"
     return " union all ".join(
         f"select '{name}' as check_name, count(*) as n_violations, count(*) = 0 as passed"
         f" from ({sql})"
-        for name, sql in checks.items()
+        for name, sql in found.items()
     )
 
 
-@query(
-    "dq_report",
-    _counted(
-        {
-            "spend date not null": "from e_stg_spend where spend_date is null",
-            "spend non-negative": "from e_stg_spend where spend_usd < 0",
-            "mart spend non-negative": "from e_efficiency where spend_usd < 0",
-            "account unique": "select 1 from e_plg group by account_id having count(*) > 1",
-            "project not null": "from e_plg where project_id is null",
-            "campaign unique": "select 1 from e_campaigns group by campaign_id having count(*) > 1",
-            "efficiency grain": "select 1 from e_efficiency group by channel, date_day having count(*) > 1",
-            "triangulation grain": "select 1 from e_tri group by channel, date_day having count(*) > 1",
-            "weights sum to one": _WEIGHTS,
-            "staging equals mart": "select 1 where (select sum(spend_usd::decimal(18,6)) from e_stg_spend)"
-            " <> (select sum(spend_usd::decimal(18,6)) from e_efficiency)",
-        }
-    ),
-)
+@query("dq_report", _report_sql())
 def dq_report(spark, sf):
     """As after a nightly run: the marts are stored, then everything is checked."""
     w = inputs.event_world(spark, sf)
-    spend, plg, grain = w.stg_marketing_ad_spend, w.stg_developer_plg_events, ["channel", "date_day"]
-    efficiency = materialize(w.fct_channel_efficiency_daily, "efficiency")
-    return quality.report(
-        [
-            quality.row_checks(
-                spend,
-                {
-                    "spend date not null": F.col("spend_date").isNull(),
-                    "spend non-negative": F.col("spend_usd") < 0,
-                },
-            ),
-            quality.row_checks(
-                efficiency, {"mart spend non-negative": F.col("spend_usd") < 0}
-            ),
-            quality.row_checks(plg, {"project not null": F.col("project_id").isNull()}),
-            quality.counted("account unique", quality.unique(plg, "account_id")),
-            quality.counted("campaign unique", quality.unique(w.dim_campaigns, "campaign_id")),
-            quality.counted("efficiency grain", quality.unique_grain(efficiency, grain)),
-            quality.counted(
-                "triangulation grain",
-                quality.unique_grain(w.fct_marketing_triangulation_daily, grain),
-            ),
-            quality.counted(
-                "weights sum to one", quality.weight_violations(w.int_attribution_paths)
-            ),
-            quality.counted(
-                "staging equals mart",
-                quality.drift_violations(spend, "spend_usd", efficiency, "spend_usd"),
-            ),
-        ]
+    w.store(
+        shared_folder(spark, "marts"),
+        "fct_channel_efficiency_daily",
+        "fct_marketing_triangulation_daily",
+        "dim_campaigns",
+        "dim_developer_projects",
     )
+    return checks.report(w)

@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from tallyspark.plans.models import RawTables
-from tallyspark.sources.schemas import RAW_SCHEMAS
-
 _CSV = {
     "header": "true",
     "quote": '"',
@@ -56,15 +53,6 @@ def infer_csv(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> Da
     )
 
 
-def load_raw_tables(spark: SparkSession, folder: str) -> RawTables:
-    """All seven landed CSV tables of a folder."""
-    tables = {
-        name.removeprefix("raw_"): scan_csv(spark, f"{folder}/{name}.csv", schema)
-        for name, schema in RAW_SCHEMAS.items()
-    }
-    return RawTables(**tables)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Files with a header line, written by the tasks in parallel."""
     df.write.mode("overwrite").options(**_CSV_WRITE).csv(path)

@@ -68,3 +68,15 @@ def test_presence(spark, table, rows, tmp_path):
     table(CLEAN).createOrReplaceTempView("checked_table")
     assert Q.table_exists(spark, "checked_table")
     assert not Q.table_exists(spark, "no_such_table")
+
+
+def test_stored_models_are_read_back_and_checked(spark, rows, tmp_path):
+    from tallyspark.queries import inputs
+
+    w = inputs.order_world(spark, "/root/testdata/sf0.001")
+    want = rows(w.fct_channel_efficiency_daily)
+    w.store(str(tmp_path), "fct_channel_efficiency_daily")
+    assert rows(w.fct_channel_efficiency_daily) == want
+    assert str(tmp_path) in w.fct_channel_efficiency_daily.inputFiles()[0]
+    w.register_views("stg_touchpoints")
+    assert spark.sql("select count(*) from stg_touchpoints").first()[0] == 1500

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyspark.operators import staging
+from tallyspark.plans.models import RawTables
 from tallyspark.sources import api, files
 from tallyspark.sources.schemas import HACKERNEWS_BUZZ, PROJECT_TELEMETRY, RAW_SCHEMAS
 
@@ -65,7 +66,7 @@ def test_load_all_tables(spark, rows, tmp_path):
     for name, schema in RAW_SCHEMAS.items():
         header = ",".join(part.split()[0] for part in schema.split(", "))
         (tmp_path / f"{name}.csv").write_text(header + "\n")
-    raw = files.load_raw_tables(spark, str(tmp_path))
+    raw = RawTables.from_csv(spark, str(tmp_path))
     assert raw.fx_rates.columns == ["base_currency", "quote_currency", "rate", "fetched_at"]
     assert rows(raw.marketing_spend) == []
 
