@@ -16,6 +16,7 @@ from tallyspark.functions.scalar import WEIGHT, decay, exact_sum, round_n, safe_
 from tallyspark.operators.ranking import distributed_row_number
 from tallyspark.operators.skew import hot_keys, spread_join
 from tallyspark.params import DEFAULTS, MeasurementParams
+from tallyspark.session import materialize
 
 _RAW = "time_decay_raw"
 _TOTAL = "total_touches"
@@ -83,10 +84,16 @@ def _weights(is_first: Column, is_last: Column) -> list[Column]:
 
 
 def _routes(
-    stg_touches: DataFrame, stg_plg: DataFrame, params: MeasurementParams
+    stg_touches: DataFrame, stg_plg: DataFrame, params: MeasurementParams, keep_list: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Paths with raw decay: those of ordinary accounts, those of hot accounts."""
+    """Paths with raw decay: those of ordinary accounts, those of hot accounts.
+
+    ``keep_list`` writes the (bounded) list of hot accounts first, for callers
+    that run more than one job and should not count the touches in each.
+    """
     hot_ids = hot_keys(stg_touches, "account_id", params.hot_keys)
+    if keep_list:
+        hot_ids = materialize(hot_ids, "hot-accounts")
     is_hot = F.broadcast(hot_ids)
     conversions = converted_accounts(stg_plg)
 
@@ -107,8 +114,9 @@ def touch_order(
 
     The descending order is counted back from the path length, which saves the
     second sort; equal timestamps are ordered by touch id in both directions.
+    Finding and numbering the hot accounts runs when this is called.
     """
-    cold, hot = _routes(stg_touches, stg_plg, params)
+    cold, hot = _routes(stg_touches, stg_plg, params, keep_list=True)
     numbered = distributed_row_number(
         hot, [F.col(c) for c in _ORDER], "touch_order_asc", partition_by=["account_id"]
     )

@@ -627,7 +627,11 @@ def mart_materialize_roundtrip(spark, sf):
 def export_payload_json(spark, sf):
     """Store the daily mart, write all sections of the payload, read the largest one back."""
     w = inputs.event_world(spark, sf)
-    w.store(shared_folder(spark, "marts"), "fct_marketing_triangulation_daily")
+    w.store(
+        shared_folder(spark, "marts"),
+        "stg_developer_plg_events",
+        "fct_marketing_triangulation_daily",
+    )
     sections = {
         "kpi_summary": w.kpi_summary,
         "channel_totals": w.channel_totals,
@@ -800,6 +804,7 @@ def dq_report(spark, sf):
     w = inputs.event_world(spark, sf)
     w.store(
         shared_folder(spark, "marts"),
+        "stg_developer_plg_events",  # five models read it: compute the join once
         "fct_channel_efficiency_daily",
         "fct_marketing_triangulation_daily",
         "dim_campaigns",
