@@ -63,13 +63,12 @@ def _with_raw_decay(paths: DataFrame, params: MeasurementParams) -> DataFrame:
 def _ordered_in_account(paths: DataFrame) -> DataFrame:
     """Order and totals by windows: the join already put each account together."""
     account = Window.partitionBy("account_id")
-    return (
-        paths.withColumn(
-            "touch_order_asc",
-            F.row_number().over(account.orderBy(*_ORDER)).cast("long"),
-        )
-        .withColumn(_TOTAL, F.count("*").over(account))
-        .withColumn(_SUM_RAW, F.sum(F.col(_RAW).cast(WEIGHT)).over(account).cast("double"))
+    place = F.row_number().over(account.orderBy(*_ORDER)).cast("long")
+    # Numbered first: the sort it needs also serves the totals.
+    return paths.withColumn("touch_order_asc", place).select(
+        "*",
+        F.count("*").over(account).alias(_TOTAL),
+        F.sum(F.col(_RAW).cast(WEIGHT)).over(account).cast("double").alias(_SUM_RAW),
     )
 
 
