@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, exact_dedup, sharding, simhash
+from tallyspark.llm import decontamination, exact_dedup, sharding, simhash, toxicity, url_filter
 from tallyspark.llm.common import table
 
 SHARDS = 24
@@ -86,3 +86,35 @@ def shard_digest(docs: DataFrame) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+# The given tables label no URLs, so hosts are labelled by these words.  They are
+# not features: the trees see only the shape of a URL.
+BLOCKED_HOST_WORDS = ["ads-", "adult", "bets", "casino", "pills", "spam"]
+RULES = [
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+]
+
+
+def labelled_urls(pages: DataFrame) -> DataFrame:
+    host, _ = url_filter.host_and_path(F.col("url"))
+    listed = F.lit(False)
+    for word in BLOCKED_HOST_WORDS:
+        listed = listed | host.contains(word)
+    return pages.select("url", listed.cast("int").alias("label")).where(host != "")
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.verdicts(pages, RULES, url_filter.fit(labelled_urls(pages)))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
