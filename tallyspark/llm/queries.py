@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontamination, exact_dedup, sharding, simhash, toxicity, url_filter
+from tallyspark.llm import (
+    decontamination,
+    exact_dedup,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from tallyspark.llm.common import table
 
 SHARDS = 24
@@ -88,6 +96,11 @@ def shard_digest(docs: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 # The given tables label no URLs, so hosts are labelled by these words.  They are
 # not features: the trees see only the shape of a URL.
 BLOCKED_HOST_WORDS = ["ads-", "adult", "bets", "casino", "pills", "spam"]
