@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.llm import (
     decontamination,
     exact_dedup,
+    html_extraction,
     sharding,
     simhash,
     suffix_dedup,
@@ -26,6 +27,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract_text(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
