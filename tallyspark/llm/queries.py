@@ -9,6 +9,8 @@ from tallyspark.llm import (
     decontamination,
     exact_dedup,
     html_extraction,
+    language_id,
+    mixing,
     sharding,
     simhash,
     suffix_dedup,
@@ -49,6 +51,21 @@ window same as (partition by coalesce(text, ''))
 """
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and documents: rows of pages have a page_id, rows of documents a doc_id."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    none = F.lit(None).cast("long")
+    rows = (
+        language_id.page_rows(pages)
+        .withColumns({"page_id": F.col("id"), "doc_id": none})
+        .unionByName(language_id.document_rows(docs).withColumns({"page_id": none, "doc_id": F.col("id")}))
+        .drop("id")
+    )
+    found = language_id.identify(rows, language_id.fit_text(docs))
+    return found.select("doc_id", "page_id", "host", "declared", "language", "confidence", "text_language")
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leak_report(
@@ -140,3 +157,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+# Shares of the tokens of each domain of the labels table.
+DOMAIN_WEIGHTS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
+
+
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most one copy of a document, so rates lie between 0 and 1."""
+    labels = labelled_domains(table(spark, sf_dir, "labels"))
+    rates = mixing.mixing_rates(table(spark, sf_dir, "documents"), labels, DOMAIN_WEIGHTS)
+    memberships = [F.col(f"memberships.{d}").alias(f"p_{d}") for d in sorted(DOMAIN_WEIGHTS)]
+    return rates.select("doc_id", "n_tokens", *memberships, "rate", "copies")
