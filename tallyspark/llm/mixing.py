@@ -32,8 +32,10 @@ from tallyspark.session import materialize
 # Labelled rows read for training: at most so many of each domain, by a hash of the id.
 MAX_PER_DOMAIN = 1_500
 WORD_BUCKETS = 1 << 12
-STEPS = 60
+STEPS = 40
 TOLERANCE = 1e-4
+#: Targets out of reach: the fit ends when a step lowers the misfit by less than this part.
+STALLED = 1e-3
 #: Of the largest total that the scarcest domain allows, the part that is aimed at.
 FILL = 0.98
 
@@ -115,6 +117,12 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Dom
     )
     sample = materialize(rows, "labelled-domains")
     counts = {int(r[0]): r[1] for r in sample.groupBy("_m_label").count().collect()}
+    # A domain's rows weigh as many as it has labels, so the sample's equal parts do
+    # not make rare domains likelier.
+    labels = {int(r[0]): r[1] for r in known.groupBy("_m_label").count().collect()}
+    weight = F.lit(0.0)
+    for i, n in counts.items():
+        weight = F.when(F.col("_m_label") == i, labels[i] / n).otherwise(weight)
     if len(counts) < 2:
         return DomainModel(domains, None)
     shape = [f"_m_{k}" for k in _shape(F.lit(""))]
@@ -125,11 +133,13 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Dom
         VectorAssembler(inputCols=["_m_hashed", "_m_scaled"], outputCol="_m_features"),
         LogisticRegression(
             featuresCol="_m_features", labelCol="_m_label", probabilityCol="_m_probability",
-            rawPredictionCol="_m_raw", predictionCol="_m_prediction", family="multinomial",
-            regParam=0.02, standardization=False, maxIter=30,
+            rawPredictionCol="_m_raw", predictionCol="_m_prediction", weightCol="_m_weight",
+            family="multinomial", regParam=0.005, standardization=False, maxIter=30,
         ),
     ]
-    model = Pipeline(stages=stages).fit(_features(sample).coalesce(6))
+    model = Pipeline(stages=stages).fit(
+        _features(sample.withColumn("_m_weight", weight)).coalesce(6)
+    )
     if len(domains) > model.stages[-1].numClasses:
         # The last domains have no labelled row: no probability can be given for them.
         raise ValueError("the last domain has no labelled documents")
@@ -180,10 +190,14 @@ def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, toke
     inverse = [1.0 / max(sum(first[f"g{d}_{e}"] for e in range(size)), 1e-9) for d in range(size)]
     steps: list[list[float]] = []
     totals = [start * s for s in whole]
+    before = float("inf")
     for _ in range(STEPS):
         residual = [totals[d] - targets[d] for d in range(size)]
-        if max(abs(x) for x in residual) <= TOLERANCE * max(tokens, 1e-9):
+        misfit = sum(x * x * m for x, m in zip(residual, inverse, strict=True))
+        near = max(abs(x) for x in residual) <= TOLERANCE * max(tokens, 1e-9)
+        if near or misfit > (1 - STALLED) * before:
             break
+        before = misfit
         steps.append([residual[d] * inverse[d] for d in range(size)])
         rate = _rate(steps, start, max_rate)
         got = held.agg(*[F.coalesce(F.sum(rate * n * p[d]), F.lit(0.0)).alias(f"s{d}") for d in range(size)]).first()

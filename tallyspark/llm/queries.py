@@ -160,7 +160,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Shares of the tokens of each domain of the labels table.
-DOMAIN_WEIGHTS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
+DOMAIN_WEIGHTS = {"good": 0.90, "poor": 0.06, "toxic": 0.04}
 
 
 def labelled_domains(labels: DataFrame) -> DataFrame:
