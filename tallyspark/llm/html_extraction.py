@@ -246,16 +246,19 @@ def extract_text(
             dtype=object,
         )
 
+    key, found = "_page", "_found"
+    while {key, found} & set(pages.columns):
+        key, found = "_" + key, "_" + found
     # Equal pages of a host have equal paths, so they may share a key.
-    keyed = pages.withColumn("_page_key", F.xxhash64(F.col(url_column), F.col(html_column)))
-    found = (
-        keyed.select("_page_key", host.alias("host"), F.explode(paths(F.col(html_column))).alias("path"))
+    keyed = pages.withColumn(key, F.xxhash64(F.col(url_column), F.col(html_column)))
+    lists = (
+        keyed.select(key, host.alias("host"), F.explode(paths(F.col(html_column))).alias("path"))
         .join(removed, ["host", "path"])
-        .groupBy("_page_key")
-        .agg(F.collect_set("path").alias("_paths"))
+        .groupBy(key)
+        .agg(F.collect_set("path").alias(found))
     )
     return (
-        keyed.join(found, "_page_key", "left")
-        .withColumn(out, clean_row(F.col(html_column), F.col("_paths")))
-        .drop("_page_key", "_paths")
+        keyed.join(lists, key, "left")
+        .withColumn(out, clean_row(F.col(html_column), F.col(found)))
+        .select(*[c for c in pages.columns if c != out], out)
     )

@@ -57,7 +57,7 @@ _REST = re.compile(r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""\shidden(?=[\s/>=]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d{3,}")  # numbers of single posts, not of kinds of boxes
 
 
 def _hash(parent: int, key: str) -> int:

@@ -32,12 +32,15 @@ from tallyspark.session import materialize
 # Labelled rows read for training: at most so many of each domain, by a hash of the id.
 MAX_PER_DOMAIN = 1_500
 WORD_BUCKETS = 1 << 12
-STEPS = 40
-TOLERANCE = 1e-4
+STEPS = 25
+TOLERANCE = 1e-3
 #: Targets out of reach: the fit ends when a step lowers the misfit by less than this part.
-STALLED = 1e-3
-#: Of the largest total that the scarcest domain allows, the part that is aimed at.
-FILL = 0.98
+STALLED = 0.02
+#: Without a total given: the most the scarcest domain allows, lowered by this factor
+#: until the totals lie within REACHED of their targets (relative to all tokens).
+SHRINK = 0.9
+ATTEMPTS = 6
+REACHED = 2e-3
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -171,38 +174,50 @@ class Fit:
 def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, tokens: float | None = None) -> Fit:
     """Fit rates on rows with ``_m_tokens`` and ``_m_p`` (memberships).
 
-    ``tokens`` is the total aimed at; by default the most that the scarcest domain allows
-    at ``max_rate``, times ``FILL``.
+    ``tokens`` is the total aimed at, met as nearly as the rates allow.  By default it is
+    the most that the scarcest domain allows at ``max_rate``, lowered in steps until the
+    targets are met (memberships are soft, so a document adds to several domains).
     """
     size = len(weights)
     scale = sum(weights)
     share = [w / scale for w in weights]
     n, p = F.col("_m_tokens"), [F.col("_m_p")[d] for d in range(size)]
-    start = min(1.0, max_rate)
-    first = held.agg(
-        *[F.coalesce(F.sum(n * p[d]), F.lit(0.0)).alias(f"s{d}") for d in range(size)],
-        *[F.coalesce(F.sum(n * p[d] * p[e]), F.lit(0.0)).alias(f"g{d}_{e}") for d in range(size) for e in range(size)],
-    ).first()
+    sums = lambda factor: [
+        F.coalesce(F.sum(factor * n * p[d]), F.lit(0.0)).alias(f"s{d}") for d in range(size)
+    ]
+    gram = [
+        F.coalesce(F.sum(n * p[d] * p[e]), F.lit(0.0)).alias(f"g{d}_{e}") for d in range(size) for e in range(size)
+    ]
+    first = held.agg(*sums(F.lit(1.0)), *gram).first()
     whole = [first[f"s{d}"] for d in range(size)]
-    if tokens is None:
-        tokens = FILL * max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
-    targets = [tokens * s for s in share]
     inverse = [1.0 / max(sum(first[f"g{d}_{e}"] for e in range(size)), 1e-9) for d in range(size)]
-    steps: list[list[float]] = []
-    totals = [start * s for s in whole]
-    before = float("inf")
-    for _ in range(STEPS):
-        residual = [totals[d] - targets[d] for d in range(size)]
-        misfit = sum(x * x * m for x, m in zip(residual, inverse, strict=True))
-        near = max(abs(x) for x in residual) <= TOLERANCE * max(tokens, 1e-9)
-        if near or misfit > (1 - STALLED) * before:
+
+    def descend(total: float, start: float) -> tuple[Fit, bool]:
+        targets, steps = [total * s for s in share], []
+        totals, before = [start * s for s in whole], float("inf")
+        while True:
+            residual = [totals[d] - targets[d] for d in range(size)]
+            off = max(abs(x) for x in residual) / max(total, 1e-9)
+            misfit = sum(x * x * m for x, m in zip(residual, inverse, strict=True))
+            if off <= TOLERANCE or misfit > (1 - STALLED) * before or len(steps) == STEPS:
+                return Fit(steps, start, max_rate, targets, totals), off <= REACHED
+            before = misfit
+            steps.append([residual[d] * inverse[d] for d in range(size)])
+            rated = held.select("_m_tokens", "_m_p", _rate(steps, start, max_rate).alias("_m_rate"))
+            got = rated.agg(*sums(F.col("_m_rate"))).first()
+            totals = [got[f"s{d}"] for d in range(size)]
+
+    if tokens is not None:
+        return descend(tokens, min(1.0, max_rate))[0]
+    total = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
+    start = min(1.0, max_rate)
+    for _ in range(ATTEMPTS):
+        total *= SHRINK
+        fit, reached = descend(total, start)
+        if reached:
             break
-        before = misfit
-        steps.append([residual[d] * inverse[d] for d in range(size)])
-        rate = _rate(steps, start, max_rate)
-        got = held.agg(*[F.coalesce(F.sum(rate * n * p[d]), F.lit(0.0)).alias(f"s{d}") for d in range(size)]).first()
-        totals = [got[f"s{d}"] for d in range(size)]
-    return Fit(steps, start, max_rate, targets, totals)
+        start *= SHRINK
+    return fit
 
 
 def copies(rate: Column, *keys: Column) -> Column:

@@ -1,0 +1,178 @@
+"""Language, toxicity and mixing: held-out accuracy, laws and edge cases."""
+
+import zlib
+
+import numpy as np
+import pytest
+from edge import edge_docs, empty_docs, rows
+from pyspark.sql import functions as F
+
+from tallyspark.llm import language_id, mixing, toxicity
+from tallyspark.llm.queries import DOMAIN_WEIGHTS, QUERIES, labelled_domains
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{SF}/labels.parquet")
+
+
+# ------------------------------------------------------------ language
+
+
+def test_language_of_held_out_documents(docs):
+    model = language_id.fit_text(docs.where("doc_id % 2 = 0"))
+    held = docs.where("doc_id % 2 = 1 and n_chars > 40")
+    got = language_id.identify(language_id.document_rows(held), model).collect()
+    lang = {r.doc_id: r.lang for r in held.collect()}
+    assert len(got) == len(lang)
+    assert np.mean([r.language == lang[r.id] for r in got]) > 0.97
+
+
+def test_evidence_is_fused(spark, docs):
+    model = language_id.fit_text(docs)
+    page = lambda lang, text: f'<html lang="{lang}"><body><p>{text}</p></body></html>'
+    long = {r.lang: r.text for r in docs.where("n_chars between 400 and 3000").orderBy("doc_id").collect()}
+    sites = [(f"http://{x}.example.com/{i}", page(x, long[x])) for x in ("de", "en", "fr") for i in range(12)]
+    odd = [
+        ("http://de.example.com/a", page("de", "")),  # no text: markup and host decide
+        ("http://de.example.com/b", "<p>12 345</p>"),  # nothing but the host
+        ("http://fr.example.com/c", page("de", long["fr"])),  # the text outweighs the markup
+        (None, None),
+    ]
+    pages = spark.createDataFrame(
+        [(i, u, h, "clash", 0.5) for i, (u, h) in enumerate(sites + odd)],
+        "page_id long, url string, html string, posterior string, evidence double",
+    )
+    got = {r.id: r for r in language_id.identify(language_id.page_rows(pages), model).collect()}
+    assert len(got) == 40
+    assert [got[i].language for i in (36, 37, 38)] == ["de", "de", "fr"]
+    assert abs(sum(got[39].posterior) - 1) < 1e-9
+    assert got[37].confidence < got[36].confidence
+
+
+def test_language_edge_cases(spark, docs):
+    model = language_id.fit_text(docs)
+    got = language_id.identify(language_id.document_rows(edge_docs(spark)), model).collect()
+    assert len(got) == len(rows()) and all(abs(sum(r.posterior) - 1) < 1e-9 for r in got)
+    assert language_id.identify(language_id.document_rows(empty_docs(spark)), model).count() == 0
+    none = language_id.fit_text(edge_docs(spark))
+    got = language_id.identify(language_id.document_rows(edge_docs(spark)), none).collect()
+    assert len(got) == len(rows()) and all(r.language is None for r in got)
+
+
+def test_language_query_has_every_row(spark, docs):
+    got = QUERIES["op3_language_id"](spark, "/root/testdata/sf0.001")
+    counts = got.agg(F.count("doc_id"), F.count("page_id"), F.count("*")).first()
+    whole = [spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").count() for t in ("documents", "pages")]
+    assert list(counts) == [*whole, sum(whole)]
+
+
+# ------------------------------------------------------------ toxicity
+
+
+def test_toxicity_of_held_out_rows(spark, docs, labels):
+    got = toxicity.toxicity_report(docs, labels).join(labels, "doc_id").collect()
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    held = [r for r in got if r.held_out]
+    good, bad = [r.score for r in held if not r.toxic], [r.score for r in held if r.toxic]
+    auc = np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good])
+    assert auc > 0.9
+    assert np.mean([s >= 0.7 for s in good]) < 0.05
+
+
+def test_held_out_labels_do_not_matter(spark, docs, labels):
+    flipped = labels.withColumn("toxic", F.when(~toxicity.usable_id("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert toxicity.fit(docs, flipped) == toxicity.fit(docs, labels)
+
+
+def test_non_negative_risk_finds_the_positives():
+    # Feature 0 marks positives, feature 1 is noise; a fifth of the unlabelled are positives.
+    rng = np.random.default_rng(0)
+    noise = lambda: [1] if rng.random() < 0.5 else []
+    positive = toxicity._Rows([[0, *noise()] for _ in range(200)], 2)
+    unlabelled = toxicity._Rows([[*([0] if i % 5 == 0 else []), *noise()] for i in range(1000)], 2)
+    weights, bias = toxicity.fit_nnpu(positive, unlabelled, prior=0.2)
+    assert bias < bias + abs(weights[1]) < 0 < weights[0] + bias - abs(weights[1])
+    # Trained as plain negatives the unlabelled positives would pull the margin down.
+    _, plain = toxicity.fit_nnpu(positive, unlabelled, prior=0.001)
+    assert plain < bias
+
+
+def test_toxicity_edge_cases(spark, docs, labels):
+    with_extra = labels.limit(5).selectExpr("doc_id", "toxic", "quality as text", "1 as unlabelled")
+    report = toxicity.toxicity_report(edge_docs(spark), with_extra).collect()
+    assert len(report) == len(rows()) and len({r.score for r in report}) == 1
+    model = toxicity.fit(docs, labels)
+    scored = edge_docs(spark).select("doc_id", toxicity.toxicity(model, F.coalesce("text", F.lit("")).cast("binary")).alias("s"))
+    assert all(0 <= r.s <= 1 for r in scored.collect())
+    assert toxicity.toxicity_report(empty_docs(spark), labels).count() == 0
+    kept = toxicity.drop_toxic(edge_docs(spark), labels)
+    assert kept.columns == edge_docs(spark).columns and kept.count() == len(rows())
+    odd = spark.createDataFrame([(None, 1), (1, None), (1, 7)], "doc_id long, toxic int")
+    assert toxicity.fit(edge_docs(spark), odd) == toxicity.Model()
+
+
+# ------------------------------------------------------------ mixing
+
+
+def test_token_totals_meet_the_targets(spark, docs, labels):
+    got = QUERIES["op10_mixing"](spark, SF)
+    assert "Python" not in got._jdf.queryExecution().toString()
+    rates = got.toPandas()
+    assert len(rates) == docs.count() and rates.rate.between(0, 1).all()
+    assert np.allclose(rates[["p_good", "p_poor", "p_toxic"]].sum(axis=1), 1)
+    total = (rates.rate * rates.n_tokens).sum()
+    for domain, weight in DOMAIN_WEIGHTS.items():
+        share = (rates.rate * rates.n_tokens * rates[f"p_{domain}"]).sum() / total
+        assert abs(share - weight) < 0.01
+    drawn = (rates.copies * rates.n_tokens).sum()
+    assert abs(drawn / total - 1) < 0.05 and set(rates.copies) <= {0, 1}
+
+
+def test_memberships_of_held_out_rows(docs, labels):
+    domains = labelled_domains(labels)
+    model = mixing.fit_domains(docs, domains.where("doc_id % 2 = 0"), ["good", "poor"])
+    held = docs.join(domains.where("doc_id % 2 = 1 and domain <> 'toxic'"), "doc_id").select(
+        F.col("text").alias("_m_text"), "domain"
+    )
+    got = model.memberships(held, "p").collect()
+    assert np.mean([(r.p[0] > 0.5) == (r.domain == "good") for r in got]) > 0.85
+
+
+@pytest.mark.parametrize("max_rate, weights", [(1.0, [0.5, 0.5]), (4.0, [0.2, 0.8]), (1.0, [1.0, 0.0])])
+def test_rates_on_known_memberships(spark, max_rate, weights):
+    rng = np.random.default_rng(1)
+    rows_ = [(int(rng.integers(0, 400)), [float(p), float(1 - p)]) for p in rng.beta(0.4, 0.2, 500)]
+    held = spark.createDataFrame(rows_, "_m_tokens long, _m_p array<double>")
+    fit = mixing.fit_rates(held, weights, max_rate)
+    rates = [r[0] for r in held.select(fit.rate).collect()]
+    assert all(0 <= r <= max_rate for r in rates)
+    totals = [sum(r * n * p[d] for r, (n, p) in zip(rates, rows_, strict=True)) for d in range(2)]
+    assert np.allclose(totals, fit.totals)
+    if min(weights) > 0:
+        assert np.allclose(totals, fit.targets, rtol=0.01)
+
+
+def test_tokens(spark):
+    df = spark.createDataFrame([("",), (" a  b\n\tc ",), ("one",), ("   ",)], "t string")
+    assert [r[0] for r in df.select(mixing.count_tokens(F.col("t"))).collect()] == [0, 3, 1, 0]
+
+
+def test_mixing_edge_cases(spark, docs, labels):
+    few = spark.createDataFrame([(1, "good"), (6, "good"), (None, "poor"), (8, "other")], "doc_id long, domain string")
+    got = mixing.mixing_rates(edge_docs(spark), few, {"good": 0.5, "poor": 0.5}).collect()
+    assert len(got) == len(rows())
+    mixed = mixing.mixed_documents(edge_docs(spark), few, {"good": 0.5, "poor": 0.5})
+    assert mixed.columns == edge_docs(spark).columns and 0 < mixed.count() <= len(rows())
+    assert mixing.mixing_rates(empty_docs(spark), few, {"good": 1.0, "poor": 1.0}).count() == 0
+    doubled = mixing.mixed_documents(edge_docs(spark), few, {"good": 0.5, "poor": 0.5}, max_rate=3.0, tokens=1e6)
+    assert doubled.count() > len(rows())
