@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, StringType
 
-MONEY = "decimal(18,6)"  # ad platforms bill in millionths of a currency unit
+# Amounts: up to 10**19, to a billionth.  Sums have ten more digits in front, so neither
+# large totals overflow nor small amounts vanish.
+MONEY = "decimal(28,9)"
 WEIGHT = "decimal(18,4)"  # attribution weights are published with four places
+EXACT_WEIGHT = "decimal(20,18)"  # unrounded weights, which are at most 1
 
 
 def col(c: Column | str) -> Column:
@@ -19,11 +22,13 @@ def round_n(value: Column | str, digits: int) -> Column:
 
     Spark's ``round`` works on the shortest decimal text of a double (1.005
     becomes 1.01); most other engines scale, round and scale back (1.0).  This
-    is the second kind.
+    is the second kind.  A value so large that it has no fraction at this scale is
+    returned as it is.
     """
     value = col(value).cast("double")
     scale = F.lit(float(10**digits))
-    return F.signum(value) * F.floor(F.abs(value) * scale + F.lit(0.5)) / scale
+    rounded = F.signum(value) * F.floor(F.abs(value) * scale + F.lit(0.5)) / scale
+    return F.when(F.abs(value) * scale < F.lit(2.0**52), rounded).otherwise(value)
 
 
 def safe_ratio(top: Column | str, bottom: Column | str) -> Column:

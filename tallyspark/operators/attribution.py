@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.scalar import WEIGHT, decay, exact_sum, round_n, safe_ratio
+from tallyspark.functions.scalar import EXACT_WEIGHT, WEIGHT, decay, exact_sum, round_n, safe_ratio
 from tallyspark.operators.ranking import distributed_row_number
 from tallyspark.operators.skew import hot_keys, spread_join
 from tallyspark.params import DEFAULTS, MeasurementParams
@@ -55,12 +55,17 @@ def _paths(joined: DataFrame) -> DataFrame:
     return joined.where(F.col("touch_date") <= F.col("pro_upgrade_date")).select(*_PATH)
 
 
-def _with_raw_decay(paths: DataFrame, params: MeasurementParams) -> DataFrame:
+def _kind(exact: bool) -> str:
+    return EXACT_WEIGHT if exact else WEIGHT
+
+
+def _with_raw_decay(paths: DataFrame, params: MeasurementParams, exact: bool) -> DataFrame:
     days = F.date_diff(F.col("pro_upgrade_date"), F.col("touch_date"))
-    return paths.withColumn(_RAW, round_n(decay(days, params.decay_per_day), 4))
+    raw = decay(days, params.decay_per_day)
+    return paths.withColumn(_RAW, raw if exact else round_n(raw, 4))
 
 
-def _ordered_in_account(paths: DataFrame) -> DataFrame:
+def _ordered_in_account(paths: DataFrame, exact: bool = False) -> DataFrame:
     """Order and totals by windows: the join already put each account together."""
     account = Window.partitionBy("account_id")
     place = F.row_number().over(account.orderBy(*_ORDER)).cast("long")
@@ -68,22 +73,28 @@ def _ordered_in_account(paths: DataFrame) -> DataFrame:
     return paths.withColumn("touch_order_asc", place).select(
         "*",
         F.count("*").over(account).alias(_TOTAL),
-        F.sum(F.col(_RAW).cast(WEIGHT)).over(account).cast("double").alias(_SUM_RAW),
+        F.sum(F.col(_RAW).cast(_kind(exact))).over(account).cast("double").alias(_SUM_RAW),
     )
 
 
-def _weights(is_first: Column, is_last: Column) -> list[Column]:
+def _weights(is_first: Column, is_last: Column, exact: bool = False) -> list[Column]:
+    """The four weights; published ones have four places, exact ones all."""
     one, none = F.lit(1.0), F.lit(0.0)
+    linear, decayed = F.lit(1.0) / F.col(_TOTAL), safe_ratio(_RAW, _SUM_RAW)
     return [
         F.when(is_first, one).otherwise(none).alias("first_touch_weight"),
         F.when(is_last, one).otherwise(none).alias("last_touch_weight"),
-        round_n(F.lit(1.0) / F.col(_TOTAL), 4).alias("linear_weight"),
-        round_n(safe_ratio(_RAW, _SUM_RAW), 4).alias("time_decay_weight"),
+        (linear if exact else round_n(linear, 4)).alias("linear_weight"),
+        (decayed if exact else round_n(decayed, 4)).alias("time_decay_weight"),
     ]
 
 
 def _routes(
-    stg_touches: DataFrame, stg_plg: DataFrame, params: MeasurementParams, keep_list: bool = False
+    stg_touches: DataFrame,
+    stg_plg: DataFrame,
+    params: MeasurementParams,
+    keep_list: bool = False,
+    exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Paths with raw decay: those of ordinary accounts, those of hot accounts.
 
@@ -103,11 +114,14 @@ def _routes(
         "account_id",
         params.hot_keys.pieces,
     )
-    return _with_raw_decay(_paths(cold), params), _with_raw_decay(_paths(hot), params)
+    return _with_raw_decay(_paths(cold), params, exact), _with_raw_decay(_paths(hot), params, exact)
 
 
 def touch_order(
-    stg_touches: DataFrame, stg_plg: DataFrame, params: MeasurementParams = DEFAULTS
+    stg_touches: DataFrame,
+    stg_plg: DataFrame,
+    params: MeasurementParams = DEFAULTS,
+    exact: bool = False,
 ) -> DataFrame:
     """Paths with ascending and descending order, path length and decay sum.
 
@@ -115,16 +129,16 @@ def touch_order(
     second sort; equal timestamps are ordered by touch id in both directions.
     Finding and numbering the hot accounts runs when this is called.
     """
-    cold, hot = _routes(stg_touches, stg_plg, params, keep_list=True)
+    cold, hot = _routes(stg_touches, stg_plg, params, keep_list=True, exact=exact)
     numbered = distributed_row_number(
         hot, [F.col(c) for c in _ORDER], "touch_order_asc", partition_by=["account_id"]
     )
     # One row per hot account, so at most max_keys rows: safe to broadcast.
     totals = numbered.groupBy("account_id").agg(
-        F.count("*").alias(_TOTAL), exact_sum(_RAW, WEIGHT).alias(_SUM_RAW)
+        F.count("*").alias(_TOTAL), exact_sum(_RAW, _kind(exact)).alias(_SUM_RAW)
     )
     hot_ordered = numbered.join(F.broadcast(totals), "account_id")
-    both = _ordered_in_account(cold).unionByName(hot_ordered)
+    both = _ordered_in_account(cold, exact).unionByName(hot_ordered)
     return both.select(
         *_PATH,
         "touch_order_asc",
@@ -136,48 +150,61 @@ def touch_order(
 
 
 def int_attribution_paths(
-    stg_touches: DataFrame, stg_plg: DataFrame, params: MeasurementParams = DEFAULTS
+    stg_touches: DataFrame,
+    stg_plg: DataFrame,
+    params: MeasurementParams = DEFAULTS,
+    exact: bool = False,
 ) -> DataFrame:
-    """Grain: qualifying touch of a converted account."""
-    ordered = touch_order(stg_touches, stg_plg, params)
+    """Grain: qualifying touch of a converted account.
+
+    ``exact`` leaves decay and weights unrounded: rounded to four places, the linear
+    weights of a path with more than 20,000 touches are all 0.
+    """
+    ordered = touch_order(stg_touches, stg_plg, params, exact)
     return ordered.select(
         *_PATH,
         "touch_order_asc",
         "touch_order_desc",
         _TOTAL,
-        *_weights(F.col("touch_order_asc") == 1, F.col("touch_order_desc") == 1),
+        *_weights(F.col("touch_order_asc") == 1, F.col("touch_order_desc") == 1, exact),
     )
 
 
-def _credits(weighted: DataFrame) -> DataFrame:
+def _credits(weighted: DataFrame, exact: bool = False) -> DataFrame:
     """Sum weights per touch date and channel, rounded for publication."""
+    # A cell's part of an exact weight is a sum itself, so it may exceed 1.
+    kind_of, places = ("decimal(28,16)", 6) if exact else (WEIGHT, 2)
     sums = [
-        round_n(exact_sum(f"{kind}_weight", WEIGHT), 2).alias(f"mta_{kind}_conversions")
+        round_n(exact_sum(f"{kind}_weight", kind_of), places).alias(f"mta_{kind}_conversions")
         for kind in _KINDS
     ]
     return weighted.groupBy(F.col("touch_date").alias("date_day"), "channel").agg(*sums)
 
 
-def mta_from_paths(paths: DataFrame) -> DataFrame:
+def mta_from_paths(paths: DataFrame, exact: bool = False) -> DataFrame:
     """Credited conversions from stored paths.  Grain: date x channel."""
-    return _credits(paths)
+    return _credits(paths, exact)
 
 
 def mta_daily(
-    stg_touches: DataFrame, stg_plg: DataFrame, params: MeasurementParams = DEFAULTS
+    stg_touches: DataFrame,
+    stg_plg: DataFrame,
+    params: MeasurementParams = DEFAULTS,
+    exact: bool = False,
 ) -> DataFrame:
     """Credited conversions straight from touches.  Grain: date x channel.
 
     Equal to :func:`mta_from_paths`, but needs no row number inside hot
     accounts: their touches are first counted per (account, day, channel), and
     the first and last touch are a minimum and a maximum.  So nothing is sorted
-    globally and nothing is written on the way.
+    globally and nothing is written on the way.  ``exact`` sums unrounded weights and
+    publishes six places: every conversion is credited in full, however long its path.
     """
-    cold, hot = _routes(stg_touches, stg_plg, params)
+    cold, hot = _routes(stg_touches, stg_plg, params, exact=exact)
 
     order = F.col("touch_order_asc")
-    credited = _ordered_in_account(cold).select(
-        "touch_date", "channel", *_weights(order == 1, order == F.col(_TOTAL))
+    credited = _ordered_in_account(cold, exact).select(
+        "touch_date", "channel", *_weights(order == 1, order == F.col(_TOTAL), exact)
     )
 
     touch = F.struct(*_ORDER)
@@ -187,7 +214,7 @@ def mta_daily(
     # One row per hot account, so at most max_keys rows: safe to broadcast.
     totals = cells.groupBy("account_id").agg(
         F.sum("_n").alias(_TOTAL),
-        F.sum(F.col(_RAW).cast(WEIGHT) * F.col("_n")).cast("double").alias(_SUM_RAW),
+        F.sum(F.col(_RAW).cast(_kind(exact)) * F.col("_n")).cast("double").alias(_SUM_RAW),
         F.min("_min").alias("_first"),
         F.max("_max").alias("_last"),
     )
@@ -195,13 +222,13 @@ def mta_daily(
     first = F.col("_min").eqNullSafe(F.col("_first"))
     last = F.col("_max").eqNullSafe(F.col("_last"))
     per_touch = cells.join(F.broadcast(totals), "account_id").select(
-        "touch_date", "channel", "_n", *_weights(first, last)
+        "touch_date", "channel", "_n", *_weights(first, last, exact)
     )
     shares = [
-        (F.col(f"{k}_weight").cast(WEIGHT) * F.col("_n")).cast("double").alias(f"{k}_weight")
+        (F.col(f"{k}_weight").cast(_kind(exact)) * F.col("_n")).cast("double").alias(f"{k}_weight")
         for k in ("linear", "time_decay")
     ]
     per_cell = per_touch.select(
         "touch_date", "channel", "first_touch_weight", "last_touch_weight", *shares
     )
-    return _credits(credited.unionByName(per_cell))
+    return _credits(credited.unionByName(per_cell), exact)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.scalar import MONEY
+from tallyspark.functions.scalar import EXACT_WEIGHT, MONEY, exact_sum
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -49,6 +49,31 @@ def weight_violations(paths: DataFrame, tolerance: float = 0.001) -> DataFrame:
     )
 
 
+def exact_weight_sums(paths: DataFrame) -> DataFrame:
+    """Per account the sums of all four unrounded weights."""
+    kinds = ("first_touch", "last_touch", "linear", "time_decay")
+    sums = [exact_sum(f"{k}_weight", EXACT_WEIGHT).alias(f"total_{k}_weight") for k in kinds]
+    return paths.groupBy("account_id").agg(*sums)
+
+
+def exact_weight_violations(paths: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Accounts where any of the four unrounded weights does not add up to 1."""
+    sums = exact_weight_sums(paths)
+    off = [F.abs(F.col(c) - 1.0) > tolerance for c in sums.columns if c != "account_id"]
+    return sums.where(reduce(Column.__or__, off))
+
+
+def weight_summary(paths: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """One row: accounts checked, accounts off, passed.  No account at all fails."""
+    sums = exact_weight_sums(paths)
+    off = reduce(
+        Column.__or__, [F.abs(F.col(c) - 1.0) > tolerance for c in sums.columns if c != "account_id"]
+    )
+    return sums.agg(F.count("*").alias("n_checked"), F.count_if(off).alias("n_violations")).withColumn(
+        "passed", (F.col("n_checked") > 0) & (F.col("n_violations") == 0)
+    )
+
+
 def total_drift(
     left: DataFrame, left_column: str, right: DataFrame, right_column: str, name: str
 ) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.scalar import round_n, safe_ratio, whole_number
 from tallyspark.operators.ranking import distributed_row_number
-from tallyspark.operators.skew import skew_safe_left_join
 from tallyspark.params import DEFAULTS, MeasurementParams
 
 
@@ -36,7 +35,9 @@ def stg_developer_plg_events(
 ) -> DataFrame:
     """Every account with its project (NULLs without one).  Grain: account x project.
 
-    An account that owns a large part of all projects is joined in pieces.
+    An inner join plus the accounts without a project: Spark may split a heavy
+    account on either side of an inner join at run time, which it cannot do for the
+    right side of a left join.
     """
     accounts = raw_accounts.select(
         "account_id",
@@ -58,7 +59,9 @@ def stg_developer_plg_events(
         F.col("pro_upgrade_date").cast("date").alias("pro_upgrade_date"),
         F.col("monthly_invoice_usd").cast("double").alias("monthly_invoice_usd"),
     )
-    joined = skew_safe_left_join(accounts, projects, "account_id", params.hot_keys)
+    matched = accounts.join(projects, "account_id")
+    alone = accounts.join(projects.select("account_id").distinct(), "account_id", "left_anti")
+    joined = matched.unionByName(alone, allowMissingColumns=True)
     return joined.select(
         "account_id",
         "project_id",

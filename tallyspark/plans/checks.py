@@ -10,7 +10,6 @@ from tallyspark.plans.models import MeasurementModels
 
 NOT_NULL = {
     "stg_github_telemetry": ["repo_name", "stars_count"],
-    "stg_hackernews_buzz": ["story_id"],
     "stg_marketing_ad_spend": ["spend_date", "spend_usd"],
     "stg_developer_plg_events": ["account_id"],
     "fct_marketing_triangulation_daily": ["date_day", "channel"],

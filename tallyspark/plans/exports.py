@@ -63,7 +63,7 @@ def channel_totals(efficiency: DataFrame) -> DataFrame:
             round_n(mean("cpc_usd"), 2).alias("avg_cpc"),
             round_n(mean("ctr_pct"), 3).alias("avg_ctr"),
         )
-        .orderBy(F.col("spend_usd").desc_nulls_last())
+        .orderBy(F.col("spend_usd").desc_nulls_last(), F.asc_nulls_last("channel"))
     )
 
 
@@ -81,7 +81,9 @@ def export_triangulation_daily(triangulation: DataFrame) -> DataFrame:
         "platform_overreporting_bias_pct",
         "incremental_cac_usd",
         "incremental_roas",
-    ).orderBy(F.desc_nulls_last("date_day"), F.desc_nulls_last("spend_usd"))
+    ).orderBy(
+        F.desc_nulls_last("date_day"), F.desc_nulls_last("spend_usd"), F.asc_nulls_last("channel")
+    )
 
 
 def export_cohorts(cohorts: DataFrame) -> DataFrame:
@@ -138,16 +140,15 @@ def explorer_labels(triangulation_export: DataFrame) -> DataFrame:
         "channel",
         channel_label("channel").alias("channel_label"),
         dollars("spend_usd").alias("spend_label"),
-        F.when(F.col("platform_overreporting_bias_pct") > 0, "+")
-        .otherwise("")
-        .alias("bias_sign"),
+        signed_percent("platform_overreporting_bias_pct").alias("bias_label"),
         signed_percent(F.col("geo_lift_conversions")).alias("lift_label"),
     )
 
 
 def latest_snapshot(snapshots: DataFrame, time_column: str = "fetched_at") -> DataFrame:
-    """The newest row of a snapshot table."""
-    return snapshots.orderBy(F.desc_nulls_last(time_column)).limit(1)
+    """The newest row of a snapshot table; of equally new ones the smallest by its columns."""
+    rest = [F.asc_nulls_last(c) for c in snapshots.columns if c != time_column]
+    return snapshots.orderBy(F.desc_nulls_last(time_column), *rest).limit(1)
 
 
 def top_stories(buzz: DataFrame, rows: int = 5) -> DataFrame:

@@ -13,7 +13,7 @@ from tallyspark.operators import adstock as ads
 from tallyspark.operators import attribution as att
 from tallyspark.operators import geo, quality, staging
 from tallyspark.operators.ranking import distributed_row_number
-from tallyspark.params import HotKeyPolicy
+from tallyspark.params import RESPONSE_GRID, HotKeyPolicy
 from tallyspark.plans import checks, exports, marts
 from tallyspark.queries import inputs
 from tallyspark.queries.sql import with_tables
@@ -162,7 +162,7 @@ model("int_adstock_and_saturation_orders", "int_adstock_and_saturation", "from o
                  + spend_usd * spend_usd), 4) * 35, 1) as estimated_conversions
     from (
         select channel,
-               round(sum(spend_adstocked::decimal(18,6))::double / count(*), 2) as half_saturation,
+               round(sum(spend_adstocked::decimal(38,8))::double / count(*), 2) as half_saturation,
                unnest([200, 500, 1000, 1500, 2000, 2500, 3000, 4000, 5000, 6500, 8000, 10000])::double
                    as spend_usd
         from e_adstock group by channel)
@@ -175,6 +175,32 @@ def saturation_curve(spark, sf):
     return ads.response_curve(curves)
 
 
+@query(
+    "saturation_curve_reference",
+    """
+    select spend_usd, saturation_index, round(saturation_index * 35, 1) as estimated_conversions,
+           (select count(*) from o_adstock as day where day.spend_adstocked <= curve.spend_usd) as days_up_to
+    from (select g::double as spend_usd,
+                 round(g::double * g / (2500.0 * 2500 + g::double * g), 4) as saturation_index
+          from (select unnest([200, 500, 1000, 1500, 2000, 2500, 3000, 4000, 5000, 6500, 8000, 10000]) as g)) as curve
+    """,
+)
+def saturation_curve_reference(spark, sf):
+    """The published curve (K = 2500, 12 points), and how many days lie up to each point."""
+    one = spark.range(1).select()
+    points = ads.response_curve(one).drop("half_saturation")
+    days = inputs.order_world(spark, sf).int_adstock_and_saturation.select("spend_adstocked")
+    grid = F.array(*[F.lit(float(g)) for g in RESPONSE_GRID])
+    reached = (
+        days.select(F.explode(F.filter(grid, lambda g: F.col("spend_adstocked") <= g)).alias("spend_usd"))
+        .groupBy("spend_usd")
+        .agg(F.count("*").alias("days_up_to"))
+    )
+    return points.join(reached, "spend_usd", "left").withColumn(
+        "days_up_to", F.coalesce("days_up_to", F.lit(0).cast("long"))
+    )
+
+
 # ------------------------------------------------------------ attribution
 
 _PATH = (
@@ -234,6 +260,29 @@ model("int_attribution_paths_orders", "int_attribution_paths", "from o_attributi
 model("mta_daily", "mta_daily", "from e_mta")
 model("mta_daily_orders", "mta_daily", "from o_mta", inputs.order_world)
 
+
+
+_MTA_EXACT = "select touch_date as date_day, channel, {} from e_exact group by all".format(
+    ", ".join(
+        f"round(fsum({k}_weight), 6) as mta_{k}_conversions"
+        for k in ("first_touch", "last_touch", "linear", "time_decay")
+    )
+)
+
+
+@query("mta_daily_exact", _MTA_EXACT)
+def mta_daily_exact(spark, sf):
+    """Credits from unrounded weights: nothing is lost on long paths."""
+    w = inputs.event_world(spark, sf)
+    return att.mta_daily(w.stg_touchpoints, w.stg_developer_plg_events, w.params, exact=True)
+
+
+@query("mta_daily_exact_hot", _MTA_EXACT)
+def mta_daily_exact_hot(spark, sf):
+    w = _hot_world(spark, sf)
+    return att.mta_daily(w.stg_touchpoints, w.stg_developer_plg_events, w.params, exact=True)
+
+
 # The same models with a policy that treats many accounts as hot, so that the
 # second route carries rows at any scale.
 _EAGER_HOT = HotKeyPolicy(min_rows=70, pieces=8)
@@ -324,20 +373,20 @@ _KPI = """
            round(c, 1) as total_causal_conversions, round((p - c) / c * 100, 1) as platform_bias_pct,
            round(s / p, 2) as blended_cac, round(s / c, 2) as incremental_cac,
            round(c * 150 / s, 2) as marginal_roas, round(s / c / 25, 1) as payback_months
-    from (select sum(spend_usd::decimal(18,6))::double as s,
+    from (select sum(spend_usd::decimal(38,8))::double as s,
                  sum(platform_reported_conversions)::double as p,
-                 sum(mmm_estimated_incremental_conversions::decimal(18,6))::double as c
+                 sum(mmm_estimated_incremental_conversions::decimal(38,8))::double as c
           from {w}_tri)
 """
 _CHANNELS = """
     select channel, round(s, 2) as spend_usd, i as impressions, k as clicks, n as total_signups,
            u as total_pro_upgrades, if(u = 0, null, round(s / u, 2)) as blended_cac,
            round(cpc, 2) as avg_cpc, round(ctr, 3) as avg_ctr
-    from (select channel, sum(spend_usd::decimal(18,6))::double as s, sum(impressions)::bigint as i,
+    from (select channel, sum(spend_usd::decimal(38,8))::double as s, sum(impressions)::bigint as i,
                  sum(clicks)::bigint as k, sum(total_signups)::bigint as n,
                  sum(total_pro_upgrades)::bigint as u,
-                 sum(cpc_usd::decimal(18,6))::double / count(cpc_usd) as cpc,
-                 sum(ctr_pct::decimal(18,6))::double / count(ctr_pct) as ctr
+                 sum(cpc_usd::decimal(38,8))::double / count(cpc_usd) as cpc,
+                 sum(ctr_pct::decimal(38,8))::double / count(ctr_pct) as ctr
           from {w}_efficiency group by channel)
 """
 _DAILY = """
@@ -364,9 +413,9 @@ model("export_cohorts", "export_cohorts", _COHORTS.format(w="e"))
     "triangulation_channel_rollup",
     """
     select channel, sum(platform_reported_conversions)::double as platform_total,
-           sum(mta_first_touch_conversions::decimal(18,6))::double as first_touch_total,
-           sum(mta_last_touch_conversions::decimal(18,6))::double as last_touch_total,
-           round(sum(mmm_estimated_incremental_conversions::decimal(18,6))::double, 0) as mmm_total
+           sum(mta_first_touch_conversions::decimal(38,8))::double as first_touch_total,
+           sum(mta_last_touch_conversions::decimal(38,8))::double as last_touch_total,
+           round(sum(mmm_estimated_incremental_conversions::decimal(38,8))::double, 0) as mmm_total
     from e_tri group by channel
     """,
 )
@@ -407,18 +456,23 @@ def recent_cohorts(spark, sf):
 @query(
     "label_format",
     f"""
-    select date_day, channel, channel as channel_label,
+    select date_day, 'paid_' || channel || '_ads' as channel,
+           'paid ' || channel || '_ads' as channel_label,
            '$' || printf('%.2f', spend_usd) as spend_label,
-           if(platform_overreporting_bias_pct > 0, '+', '') as bias_sign,
+           if(platform_overreporting_bias_pct > 0, '+', '') || platform_overreporting_bias_pct || '%'
+               as bias_label,
            if(geo_lift_conversions > 0, '+', '') || geo_lift_conversions || '%' as lift_label
     from ({_DAILY})
     """,
 )
 def label_format(spark, sf):
-    return exports.explorer_labels(inputs.event_world(spark, sf).export_triangulation_daily)
+    """Channels get two underscores: only the first becomes a space."""
+    daily = inputs.event_world(spark, sf).export_triangulation_daily
+    named = F.concat(F.lit("paid_"), F.col("channel"), F.lit("_ads"))
+    return exports.explorer_labels(daily.withColumn("channel", named))
 
 
-@query("latest_snapshot_row", "from e_repo order by fetched_at desc limit 1")
+@query("latest_snapshot_row", "from e_repo order by fetched_at desc, columns(* exclude (fetched_at)) limit 1")
 def latest_snapshot_row(spark, sf):
     return exports.latest_snapshot(inputs.EventTables(spark, sf).github_telemetry)
 
@@ -525,6 +579,70 @@ def src_json_explode_topn(spark, sf):
     return rows.withColumn("position", F.col("position").cast("long"))
 
 
+@query(
+    "src_json_explode_all",
+    """
+    select doc_id, (pos - 1)::bigint as position, words[pos] as title, length(words[pos]) as points,
+           0::bigint as num_comments, lang as created_at
+    from (select doc_id, lang, words, unnest(range(1, len(words) + 1)) as pos
+          from (select doc_id, lang, string_split(text, ' ') as words from documents))
+    """,
+)
+def src_json_explode_all(spark, sf):
+    """Whole lists: every word of every document is an entry."""
+    hits = F.transform(
+        F.split("text", " "),
+        lambda w: F.struct(w.alias("title"), F.length(w).alias("points"), F.col("lang").alias("created_at")),
+    )
+    docs = inputs.Tables(spark, sf)["documents"].select(
+        "doc_id", F.to_json(F.struct(hits.alias("hits"))).alias("doc")
+    )
+    rows = api.list_rows(docs, "doc", first=None, keep=["doc_id"])
+    return rows.withColumn("position", F.col("position").cast("long"))
+
+
+def _feed_answers(spark, sf) -> DataFrame:
+    """Events as API answers: some broken, some missing, some of the wrong kind."""
+    kind = F.col("event_type")
+    good = F.to_json(F.struct(F.col("user_id").alias("stargazers_count"), F.array(F.lit(5)).alias("hits")))
+    doc = (
+        F.when(kind == "error", F.concat(F.lit("{broken "), F.col("event_id").cast("string")))
+        .when(kind == "signup", F.lit(None).cast("string"))
+        .when(kind == "view", F.lit("[1]"))
+        .when(kind == "purchase", F.lit('{"hits": 7}'))
+        .otherwise(good)
+    )
+    return inputs.Tables(spark, sf)["events"].select("event_id", doc.alias("doc"))
+
+
+@query(
+    "src_json_fallback",
+    """
+    select event_id,
+           if(event_type in ('error', 'signup', 'view', 'purchase'), 72000, user_id)::bigint as stars,
+           4500::bigint as forks, 120::bigint as open_issues, 1800::bigint as watchers
+    from events
+    """,
+)
+def src_json_fallback(spark, sf):
+    """Every document gives a row: what cannot be read gives the defaults."""
+    return api.object_rows(_feed_answers(spark, sf), "doc", keep=["event_id"], fallback=True)
+
+
+@query(
+    "src_json_rejected",
+    """
+    select event_id, case event_type when 'error' then '{broken ' || event_id
+                     when 'view' then '[1]' when 'purchase' then '{"hits": 7}' end as document,
+           case event_type when 'error' then 'not JSON' when 'signup' then 'missing'
+                when 'view' then 'not an object' else 'no list' end as reason
+    from events where event_type in ('error', 'signup', 'view', 'purchase')
+    """,
+)
+def src_json_rejected(spark, sf):
+    return api.rejected_documents(_feed_answers(spark, sf), "doc", member="hits", keep=["event_id"])
+
+
 _RATES = """
     select o_orderkey, o_totalprice as eur, o_totalprice / 2 as gbp, o_orderstatus = 'O' as is_open
     from orders
@@ -698,11 +816,57 @@ def dq_attribution_violations(spark, sf):
     return quality.weight_violations(inputs.event_world(spark, sf).int_attribution_paths)
 
 
+_EXACT_SUMS = """
+    select account_id, fsum(first_touch_weight) as f, fsum(last_touch_weight) as l,
+           fsum(linear_weight) as n, fsum(time_decay_weight) as d
+    from e_exact group by account_id
+"""
+_EXACT_OFF = "greatest(abs(f - 1), abs(l - 1), abs(n - 1), abs(d - 1)) > 1e-6"
+
+
+@query(
+    "dq_attribution_violations_exact",
+    f"""
+    select account_id, f as total_first_touch_weight, l as total_last_touch_weight,
+           n as total_linear_weight, d as total_time_decay_weight
+    from ({_EXACT_SUMS}) where {_EXACT_OFF}
+    """,
+)
+def dq_attribution_violations_exact(spark, sf):
+    """Sound data has no rows here: only rounding makes published weights miss 1."""
+    return quality.exact_weight_violations(_exact_paths(spark, sf))
+
+
+def _exact_paths(spark, sf):
+    w = inputs.event_world(spark, sf)
+    return att.int_attribution_paths(w.stg_touchpoints, w.stg_developer_plg_events, w.params, exact=True)
+
+
+@query(
+    "dq_attribution_summary",
+    f"""
+    select 'all' as scope, count(*) as n_checked, count(*) filter ({_EXACT_OFF}) as n_violations,
+           count(*) > 0 and count(*) filter ({_EXACT_OFF}) = 0 as passed
+    from ({_EXACT_SUMS})
+    union all select 'none', 0, 0, false from (select count(*) from events)
+    """,
+)
+def dq_attribution_summary(spark, sf):
+    """How many accounts were checked; a check of nothing fails."""
+    paths = _exact_paths(spark, sf)
+    scopes = {"all": paths, "none": paths.where("account_id is null")}
+    parts = [
+        quality.weight_summary(df).select(F.lit(name).alias("scope"), "n_checked", "n_violations", "passed")
+        for name, df in scopes.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "dq_spend_drift",
     """
-    select abs((select sum(spend_usd::decimal(18,6)) from o_stg_spend)
-               - (select sum(spend_usd::decimal(18,6)) from o_efficiency))::double as spend_drift
+    select abs((select sum(spend_usd::decimal(38,8)) from o_stg_spend)
+               - (select sum(spend_usd::decimal(38,8)) from o_efficiency))::double as spend_drift
     """,
 )
 def dq_spend_drift(spark, sf):
@@ -715,8 +879,8 @@ def dq_spend_drift(spark, sf):
 @query(
     "dq_raw_staging_drift",
     """
-    select abs((select sum(value::decimal(18,6)) from events)
-               - (select sum(spend_usd::decimal(18,6)) from e_stg_spend))::double as spend_drift
+    select abs((select sum(value::decimal(38,8)) from events)
+               - (select sum(spend_usd::decimal(38,8)) from e_stg_spend))::double as spend_drift
     """,
 )
 def dq_raw_staging_drift(spark, sf):
@@ -728,8 +892,8 @@ def dq_raw_staging_drift(spark, sf):
 @query(
     "dq_drift_violation",
     """
-    select abs((select sum(o_totalprice::decimal(18,6)) from orders)
-               - (select sum(l_extendedprice::decimal(18,6)) from lineitem))::double as spend_drift
+    select abs((select sum(o_totalprice::decimal(38,8)) from orders)
+               - (select sum(l_extendedprice::decimal(38,8)) from lineitem))::double as spend_drift
     """,
 )
 def dq_drift_violation(spark, sf):
@@ -785,7 +949,7 @@ def _report_sql() -> str:
         name: f"select 1 from ({sources[m]}) group by {by} having count(*) > 1"
         for name, (m, by) in groups.items()
     }
-    total = "(select sum({}::decimal(18,6)) from {})"
+    total = "(select sum({}::decimal(38,8)) from {})"
     raw, staged = total.format("spend", "e_spend"), total.format("spend_usd", "e_stg_spend")
     mart = total.format("spend_usd", "e_efficiency")
     found["attribution weights sum to one"] = _WEIGHTS
@@ -804,7 +968,8 @@ def dq_report(spark, sf):
     w = inputs.event_world(spark, sf)
     w.store(
         shared_folder(spark, "marts"),
-        "stg_developer_plg_events",  # five models read it: compute the join once
+        "stg_marketing_ad_spend",  # several models and checks read these two
+        "stg_developer_plg_events",
         "fct_channel_efficiency_daily",
         "fct_marketing_triangulation_daily",
         "dim_campaigns",

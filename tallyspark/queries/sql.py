@@ -48,7 +48,7 @@ _table(
     "e_spend",
     """
     select d as date, event_type as channel, region,
-           sum(value::decimal(18,6))::double as spend,
+           sum(value::decimal(38,8))::double as spend,
            (sum(k + 20) * 10)::bigint as impressions,
            sum(k + 1)::bigint as clicks,
            count(*) as platform_reported_conversions
@@ -92,8 +92,8 @@ _table(
            max(value) filter (event_type = 'error') as top_error,
            max(value) filter (event_type = 'signup') as top_signup,
            min(value) as low,
-           (sum(value::decimal(18,6)) filter (event_type = 'view'))::double as views,
-           (sum(value::decimal(18,6)) filter (event_type = 'error'))::double as errors,
+           (sum(value::decimal(38,8)) filter (event_type = 'view'))::double as views,
+           (sum(value::decimal(38,8)) filter (event_type = 'error'))::double as errors,
            sum(k)::bigint as k
     from ev group by user_id
     having max(value) filter (event_type = 'click') > 100
@@ -159,7 +159,7 @@ _table(
     "o_spend",
     """
     select d as date, o_orderpriority as channel, region,
-           sum(o_totalprice::decimal(18,6))::double as spend,
+           sum(o_totalprice::decimal(38,8))::double as spend,
            sum(q)::bigint as impressions, sum(n)::bigint as clicks,
            count(*) as platform_reported_conversions
     from ord join people using (user_id) left join lines on l_orderkey = o_orderkey
@@ -171,7 +171,7 @@ _table(
     """
     select user_id, min(d) as signup_date, arg_min(o_orderpriority, o_orderkey) as channel,
            max(d) filter (upgrades) as pro_upgrade_date, count(*) as n,
-           sum(o_totalprice::decimal(18,6))::double as v
+           sum(o_totalprice::decimal(38,8))::double as v
     from ord group by user_id
     """,
 )
@@ -247,7 +247,7 @@ def _world(w: str, k: str, decay: str, categories: list[str]) -> None:
     _table(
         f"{w}_panel",
         f"""
-        select spend_date, channel, sum(spend_usd::decimal(18,6))::double as spend_usd,
+        select spend_date, channel, sum(spend_usd::decimal(38,8))::double as spend_usd,
                sum(impressions)::bigint as impressions, sum(clicks)::bigint as clicks,
                sum(platform_conversions)::bigint as platform_conversions
         from {w}_stg_spend group by all
@@ -330,6 +330,16 @@ def _world(w: str, k: str, decay: str, categories: list[str]) -> None:
         from {w}_order
         """,
     )
+    _table(
+        f"{w}_exact",
+        f"""
+        select account_id, touch_date, channel, first_touch_weight, last_touch_weight,
+               1 / count(*) over a as linear_weight, raw / fsum(raw) over a as time_decay_weight
+        from (select *, exp(-{decay}::double * date_diff('day', touch_date, pro_upgrade_date)) as raw
+              from {w}_attribution)
+        window a as (partition by account_id)
+        """,
+    )
     credit = ",".join(
         f"round(sum({c}_weight::decimal(18,4))::double, 2) as mta_{c}_conversions"
         for c in ("first_touch", "last_touch", "linear", "time_decay")
@@ -417,7 +427,7 @@ def _world(w: str, k: str, decay: str, categories: list[str]) -> None:
         f"""
         select signup_date as date_day, channel, count(*) as total_signups,
                count(*) filter (is_pro_upgrade) as total_pro_upgrades,
-               sum(monthly_invoice_usd::decimal(18,6))::double as total_revenue_usd
+               sum(monthly_invoice_usd::decimal(38,8))::double as total_revenue_usd
         from {w}_plg group by all
         """,
     )
@@ -453,7 +463,7 @@ def _world(w: str, k: str, decay: str, categories: list[str]) -> None:
                    count(*) filter (compute_hours > 5) as day_7_active_count,
                    count(*) filter (compute_hours > 20) as day_30_active_count,
                    count(*) filter (is_pro_upgrade) as pro_upgrade_count,
-                   sum(monthly_invoice_usd::decimal(18,6))::double as total_mrr_usd
+                   sum(monthly_invoice_usd::decimal(38,8))::double as total_mrr_usd
             from {w}_plg group by all)
         """,
     )
@@ -465,8 +475,9 @@ def _world(w: str, k: str, decay: str, categories: list[str]) -> None:
                case channel when '{a}' then 'Paid Inbound' when '{b}' then 'Paid Outbound'
                     when '{c}' then 'Influencer & Media' when '{d}' then 'Developer Relations'
                     else 'Organic & Viral' end as channel_category,
-               case when campaign_id <= 'camp_002' then 'Indie Hacker & Solopreneur'
-                    when campaign_id <= 'camp_005' then 'Fast-Growing Startup Lead'
+               case when campaign_id in ('camp_001', 'camp_002') then 'Indie Hacker & Solopreneur'
+                    when campaign_id in ('camp_003', 'camp_004', 'camp_005')
+                    then 'Fast-Growing Startup Lead'
                     else 'Enterprise Architect' end as target_developer_persona
         from (select campaign_id, min(channel) as channel from {w}_touches group by 1)
         """,

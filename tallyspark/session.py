@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SHARED_MOUNT_KEY = "spark.tallyspark.sharedMount"
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,7 +45,32 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="tallyspark-")
         spark.conf.set(CHECKPOINT_KEY, base)
-    return f"{base.rstrip('/')}/tallyspark/{label}-{uuid.uuid4().hex}"
+    elif _on_one_machine(spark, base) and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            f"{CHECKPOINT_KEY} is {base}, a local folder; if all machines mount it,"
+            f" set {SHARED_MOUNT_KEY} to true"
+        )
+    return f"{base.rstrip('/')}/tallyspark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def _on_one_machine(spark: SparkSession, path: str) -> bool:
+    """Does the path name a local file system that is not declared to be a shared mount?"""
+    if spark.conf.get(SHARED_MOUNT_KEY, "false") == "true":
+        return False
+    return _file_system(spark, path).getScheme() == "file"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+
+
+def clear_shared(spark: SparkSession) -> bool:
+    """Remove what this application wrote in between; results read from there are gone too."""
+    base = os.path.dirname(shared_folder(spark, "any"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    return _file_system(spark, base).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,15 +43,45 @@ def _fields(document: Column, fields: Mapping[str, tuple]) -> list[Column]:
     ]
 
 
+def _is(value: Column, kind: str) -> Column:
+    """Is a parsed JSON value an OBJECT or an ARRAY?  False for NULL and broken text."""
+    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
+
+
 def object_rows(
     df: DataFrame,
     document: str,
     fields: Mapping[str, tuple] = REPO_FIELDS,
     keep: Sequence[str] = (),
+    fallback: bool = False,
 ) -> DataFrame:
-    """One JSON object per row -> one row with named columns; no row for broken JSON."""
+    """One JSON object per row -> one row with named columns.
+
+    Text that is no JSON object (see :func:`rejected_documents`) gives no row, or with
+    ``fallback`` a row of defaults.
+    """
     parsed = df.select(*keep, F.try_parse_json(document).alias("_v"))
-    return parsed.where(F.col("_v").isNotNull()).select(*keep, *_fields(F.col("_v"), fields))
+    usable = _is(F.col("_v"), "OBJECT")
+    if fallback:
+        whole = F.when(usable, F.col("_v")).otherwise(F.parse_json(F.lit("{}")))
+        return parsed.withColumn("_v", whole).select(*keep, *_fields(F.col("_v"), fields))
+    return parsed.where(usable).select(*keep, *_fields(F.col("_v"), fields))
+
+
+def rejected_documents(
+    df: DataFrame, document: str, member: str | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Documents that give no rows, with the ``reason``.
+
+    With ``member`` the document must hold a list of that name.
+    """
+    parsed = df.select(*keep, F.col(document).alias("document"), F.try_parse_json(document).alias("_v"))
+    reason = F.when(F.col("document").isNull(), "missing").when(F.col("_v").isNull(), "not JSON")
+    reason = reason.when(~_is(F.col("_v"), "OBJECT"), "not an object")
+    if member:
+        held = F.variant_get("_v", f"$['{member}']", "variant")
+        reason = reason.when(~_is(held, "ARRAY"), "no list")
+    return parsed.select(*keep, "document", reason.alias("reason")).where("reason is not null")
 
 
 def list_rows(
@@ -58,18 +89,28 @@ def list_rows(
     document: str,
     member: str = "hits",
     fields: Mapping[str, tuple] = STORY_FIELDS,
-    first: int = MAX_STORIES,
+    first: int | None = MAX_STORIES,
     keep: Sequence[str] = (),
+    fallback: Sequence[Mapping[str, object]] = (),
 ) -> DataFrame:
-    """``{"hits": [{...}, ...]}`` -> one row for each of the first entries, with its place."""
+    """``{"hits": [{...}, ...]}`` -> one row for each of the first entries, with its place.
+
+    ``first=None`` takes the whole list.  Entries that are no objects give no row.  A
+    document without such a list gives the rows of ``fallback`` (given as JSON members).
+    """
     parsed = df.select(*keep, F.try_parse_json(document).alias("_d"))
-    # Take the entries by place: the rest of a long list is never unpacked.
-    entries = F.array(
-        *(F.variant_get("_d", f"$['{member}'][{i}]", "variant") for i in range(first))
-    )
+    path = f"$['{member}']"
+    if first is None:
+        entries = F.variant_get("_d", path, "array<variant>")
+    else:
+        # Take the entries by place: the rest of a long list is never unpacked.
+        entries = F.array(*(F.variant_get("_d", f"{path}[{i}]", "variant") for i in range(first)))
+    usable = _is(F.variant_get("_d", path, "variant"), "ARRAY")
+    other = F.from_json(F.lit(json.dumps(list(fallback))), "array<variant>")
+    listed = F.when(usable, entries).otherwise(other)
     return (
-        parsed.select(*keep, F.posexplode(entries).alias("position", "_v"))
-        .where(F.col("_v").isNotNull())
+        parsed.select(*keep, F.posexplode(listed).alias("position", "_v"))
+        .where(_is(F.col("_v"), "OBJECT"))
         .select(*keep, "position", *_fields(F.col("_v"), fields))
     )
 

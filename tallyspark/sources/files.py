@@ -38,14 +38,24 @@ def scan_csv(
     )
 
 
-def infer_csv(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
+def infer_csv(
+    spark: SparkSession, path: str, sampling_ratio: float = 1.0, multi_line: bool = False
+) -> DataFrame:
     """A scan that finds the column types itself: one extra pass over the sample.
 
+    A row with too few or too many fields fails the job.  ``multi_line`` as in
+    :func:`scan_csv`.
+
     The default looks at every row; a smaller sample is faster and may guess a
     type that later rows do not fit.  Timestamps carry no zone afterwards.
     """
     found = spark.read.options(
-        **_CSV, inferSchema="true", preferDate="true", samplingRatio=str(sampling_ratio)
+        **_CSV,
+        inferSchema="true",
+        preferDate="true",
+        samplingRatio=str(sampling_ratio),
+        mode="FAILFAST",
+        multiLine=str(multi_line).lower(),
     ).csv(path)
     stamps = {f.name for f in found.schema if f.dataType == TimestampType()}
     return found.select(
@@ -53,9 +63,13 @@ def infer_csv(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> Da
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Files with a header line, written by the tasks in parallel."""
-    df.write.mode("overwrite").options(**_CSV_WRITE).csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Files with a header line, written by the tasks in parallel.
+
+    ``rows_per_file`` bounds a file (0: no bound).  Set it for text with line breaks:
+    such a file is read back by one task.
+    """
+    df.write.mode("overwrite").options(**_CSV_WRITE, maxRecordsPerFile=rows_per_file).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import attribution as A
+from tallyspark.operators import quality
 from tallyspark.params import DEFAULTS, HotKeyPolicy
 
 T0 = dt.datetime(2026, 1, 1, 12)
@@ -123,3 +124,32 @@ def test_repeated_copies_of_a_touch_are_credited_once(spark, rows):
     )
     assert rows(totals) == [(1.0, 1.0)]
     assert rows(A.mta_daily(t, p, ALL_HOT)) == want
+
+
+def test_exact_credits_of_a_path_of_30000_touches(spark, params):
+    ids = spark.range(30_000).selectExpr(
+        "'a' as account_id", "lpad(cast(id as string), 6, '0') as touch_id",
+        "timestamp_ntz'2026-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id) as touch_timestamp",
+        "'x' as channel", "'camp_001' as campaign_id",
+    )
+    log = ids.select("*", F.col("touch_timestamp").cast("date").alias("touch_date"))
+    plg = accounts(spark, [("a", True, 30)])
+    got = A.mta_daily(log, plg, params, exact=True).collect()
+    for kind in ("first_touch", "last_touch", "linear", "time_decay"):
+        assert sum(r[f"mta_{kind}_conversions"] for r in got) == pytest.approx(1.0, abs=1e-4)
+    # Published weights have four places: the linear ones of such a path are all 0.
+    assert sum(r.mta_linear_conversions for r in A.mta_daily(log, plg, params).collect()) == 0.0
+
+
+def test_exact_paths_sum_to_one(spark, params):
+    data = [("a", str(i), i % 7, "x") for i in range(7)] + [("b", f"b{i}", i % 3, "y") for i in range(3)]
+    df = A.int_attribution_paths(
+        touches(spark, data), accounts(spark, [("a", True, 9), ("b", True, 9)]), params, exact=True
+    )
+    assert quality.exact_weight_violations(df).count() == 0
+    assert tuple(quality.weight_summary(df).first()) == (2, 0, True)
+    assert tuple(quality.weight_summary(df.where("false")).first()) == (0, 0, False)
+    # Seven times 0.1429 is 1.0003: the published weights are off by rounding alone.
+    assert quality.exact_weight_violations(
+        A.int_attribution_paths(touches(spark, data), accounts(spark, [("a", True, 9)]), params)
+    ).count() == 1

@@ -86,3 +86,16 @@ def test_labels(spark):
     assert one(spark, S.signed_percent(F.lit(608.3))) == "+608.3%"
     assert one(spark, S.signed_percent(F.lit(-2.5))) == "-2.5%"
     assert one(spark, S.dollars(F.lit(1234.5))) == "$1234.50"
+
+
+def test_large_and_small_amounts(spark):
+    df = spark.createDataFrame([(2e12,)] * 3 + [(4e-7,)] * 1000, "x double")
+    big = df.where("x > 1").select(S.exact_sum("x")).first()[0]
+    small = df.where("x < 1").select(S.exact_sum("x")).first()[0]
+    assert big == 6e12 and small == pytest.approx(4e-4, rel=1e-12)
+
+
+def test_rounding_of_values_without_a_fraction(spark):
+    df = spark.createDataFrame([(1e17,), (-3e250,), (float("inf"),), (2.0**53 + 2,), (1234567.885,)], "x double")
+    got = [r[0] for r in df.select(S.round_n("x", 4)).collect()]
+    assert got == [1e17, -3e250, float("inf"), 2.0**53 + 2, 1234567.885]

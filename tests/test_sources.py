@@ -129,3 +129,40 @@ def test_json_sections(spark, rows, tmp_path):
     df = spark.sql("select 'a' as k, 1.5D as v, cast(null as bigint) as n")
     files.write_json_sections({"one": df, "two": df}, str(tmp_path))
     assert rows(files.read_json_section(spark, str(tmp_path), "two", df.schema)) == rows(df)
+
+
+def test_broken_documents_fall_back_or_are_rejected(spark, rows):
+    df = documents(spark, "{broken", None, "[1]", '{"stargazers_count": 5, "hits": [{"title": "t"}, 5, null]}')
+    assert [r[:2] for r in rows(api.object_rows(df, "doc", keep=["id"]))] == [(3, 5)]
+    full = rows(api.object_rows(df, "doc", keep=["id"], fallback=True))
+    assert [r[:2] for r in full] == [(0, 72000), (1, 72000), (2, 72000), (3, 5)]
+    assert rows(api.rejected_documents(df, "doc", keep=["id"]), "id", "reason") == [
+        (0, "not JSON"), (1, "missing"), (2, "not an object")
+    ]
+    # Entries that are no objects give no row; documents without a list give the fallback.
+    listed = rows(api.list_rows(df, "doc", keep=["id"], fallback=[{"title": "f", "points": 9}]))
+    assert [r[:4] for r in listed] == [(0, 0, "f", 9), (1, 0, "f", 9), (2, 0, "f", 9), (3, 0, "t", 0)]
+
+
+def test_a_whole_list_is_unpacked(spark, rows):
+    hits = ",".join(f'{{"title": "s{i}"}}' for i in range(300))
+    df = documents(spark, f'{{"hits": [{hits}]}}', '{"hits": []}')
+    assert len(rows(api.list_rows(df, "doc", first=None, keep=["id"]))) == 300
+
+
+def test_inferred_rows_that_do_not_fit_fail(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text('a,b\n1,"x\ny"\n2,z\n')
+    got = files.infer_csv(spark, str(path), multi_line=True).collect()
+    assert [tuple(r) for r in got] == [(1, "x\ny"), (2, "z")]
+    path.write_text("a,b\n1,x\n2,z,surplus\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        files.infer_csv(spark, str(path)).collect()
+
+
+def test_files_of_bounded_length(spark, rows, tmp_path):
+    df = spark.range(100).selectExpr("id", "concat('line', char(10), id) as t").coalesce(1)
+    files.write_csv(df, str(tmp_path / "out"), rows_per_file=30)
+    assert len(list((tmp_path / "out").glob("part-*.csv"))) == 4
+    back = files.scan_csv(spark, str(tmp_path / "out"), "id bigint, t string", multi_line=True)
+    assert rows(back) == rows(df)
