@@ -1,10 +1,14 @@
 """Multi-touch attribution: paths to conversion and four weightings.
 
-Accounts of ordinary size are handled with windows over the account: one
-shuffle and one sort of the touches.  An account that holds a large share of
-all touches would end up in a single task that way, so such accounts (see
-``HotKeyPolicy``) take a second route: a join in pieces, per-account totals that
-are combined map-side, and row numbers from a range-partitioned sort.
+Credits (:func:`mta_daily`) need no order inside a path, only its ends and counts, so
+touches are combined per (account, day, channel) first: one route for all accounts.
+
+Paths (:func:`int_attribution_paths`) number every touch.  Accounts of ordinary size are
+handled with windows over the account: one shuffle and one sort of the touches.  An
+account that holds a large share of all touches would end up in a single task
+that way, so such accounts (see ``HotKeyPolicy``) take a second route: a join in
+pieces, per-account totals that are combined map-side, and row numbers from a
+range-partitioned sort.
 """
 
 from __future__ import annotations
@@ -194,35 +198,40 @@ def mta_daily(
 ) -> DataFrame:
     """Credited conversions straight from touches.  Grain: date x channel.
 
-    Equal to :func:`mta_from_paths`, but needs no row number inside hot
-    accounts: their touches are first counted per (account, day, channel), and
-    the first and last touch are a minimum and a maximum.  So nothing is sorted
-    globally and nothing is written on the way.  ``exact`` sums unrounded weights and
+    Equal to :func:`mta_from_paths`, but no touch needs a row number.  Touches are first
+    counted per (account, day, channel), map-side, with the first and last of each
+    such cell; only cells meet the conversions and each other.  So an account with a third
+    of all touches is spread over the tasks like any other, and what a window sees
+    of it is at most its days times the channels.  ``exact`` sums unrounded weights and
     publishes six places: every conversion is credited in full, however long its path.
     """
-    cold, hot = _routes(stg_touches, stg_plg, params, exact=exact)
-
-    order = F.col("touch_order_asc")
-    credited = _ordered_in_account(cold, exact).select(
-        "touch_date", "channel", *_weights(order == 1, order == F.col(_TOTAL), exact)
+    touch = F.struct("touch_timestamp", "touch_id")
+    cells = stg_touches.groupBy("account_id", "touch_date", "channel").agg(
+        F.count("*").alias("_n"), F.min(touch).alias("_min"), F.max(touch).alias("_max")
     )
+    # Accounts that repeat (see the uniqueness check) have one path per row.
+    conversions = converted_accounts(stg_plg)
+    conversions = conversions.groupBy(*conversions.columns).agg(F.count("*").alias("_rows"))
 
-    touch = F.struct(*_ORDER)
-    cells = hot.groupBy("account_id", "touch_date", "channel", _RAW).agg(
-        F.count("*").alias("_n"), F.min(touch).alias("_min"), F.max(touch).alias("_max")
+    def end(cell: str) -> Column:
+        """The cell's first or last touch in the order of :data:`_ORDER`."""
+        return F.struct(F.col(cell), *_ORDER[2:])
+
+    joined = cells.join(conversions, "account_id").where("touch_date <= pro_upgrade_date")
+    counted = joined.withColumn("_n", F.col("_n") * F.col("_rows")).withColumns(
+        {"_min": end("_min"), "_max": end("_max")}
     )
-    # One row per hot account, so at most max_keys rows: safe to broadcast.
-    totals = cells.groupBy("account_id").agg(
-        F.sum("_n").alias(_TOTAL),
-        F.sum(F.col(_RAW).cast(_kind(exact)) * F.col("_n")).cast("double").alias(_SUM_RAW),
-        F.min("_min").alias("_first"),
-        F.max("_max").alias("_last"),
+    account = Window.partitionBy("account_id")
+    raw = F.col(_RAW).cast(_kind(exact))
+    totals = _with_raw_decay(counted, params, exact).select(
+        "*",
+        F.sum("_n").over(account).alias(_TOTAL),
+        F.sum(raw * F.col("_n")).over(account).cast("double").alias(_SUM_RAW),
+        F.col("_min").eqNullSafe(F.min("_min").over(account)).alias("_first"),
+        F.col("_max").eqNullSafe(F.max("_max").over(account)).alias("_last"),
     )
-    # A value of the total order lies in one cell, so each end is credited once.
-    first = F.col("_min").eqNullSafe(F.col("_first"))
-    last = F.col("_max").eqNullSafe(F.col("_last"))
-    per_touch = cells.join(F.broadcast(totals), "account_id").select(
-        "touch_date", "channel", "_n", *_weights(first, last, exact)
+    per_touch = totals.select(
+        "touch_date", "channel", "_n", *_weights(F.col("_first"), F.col("_last"), exact)
     )
     shares = [
         (F.col(f"{k}_weight").cast(_kind(exact)) * F.col("_n")).cast("double").alias(f"{k}_weight")
@@ -231,4 +240,4 @@ def mta_daily(
     per_cell = per_touch.select(
         "touch_date", "channel", "first_touch_weight", "last_touch_weight", *shares
     )
-    return _credits(credited.unionByName(per_cell), exact)
+    return _credits(per_cell, exact)
