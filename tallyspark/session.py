@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,8 +44,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="tallyspark-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        base = _own_folder(spark.sparkContext.applicationId)
     elif _on_one_machine(spark, base) and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(
             f"{CHECKPOINT_KEY} is {base}, a local folder; if all machines mount it,"
@@ -53,6 +53,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/tallyspark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+@cache
+def _own_folder(application: str) -> str:
+    """One temporary folder for a local session without a shared one."""
+    return tempfile.mkdtemp(prefix="tallyspark-")
+
+
 def _on_one_machine(spark: SparkSession, path: str) -> bool:
     """Does the path name a local file system that is not declared to be a shared mount?"""
     if spark.conf.get(SHARED_MOUNT_KEY, "false") == "true":
