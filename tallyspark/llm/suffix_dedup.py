@@ -41,8 +41,8 @@ LENGTH = 200
 GRAM = 64
 SORTED_CLASSES = 10_000
 MAP_BITS = 26
-_CHUNK = 2_000_000
-_SORT_BYTES = 4_000_000
+_CHUNK = 1_000_000
+_SORT_BYTES = 2_000_000
 
 
 # ------------------------------------------------------------ anchor ranges
@@ -131,10 +131,10 @@ class BitMap:
             )
             .groupBy("word")
             .agg(F.bit_or("bit").alias("word_bits"))
-            .toPandas()
+            .toArrow()
         )
         self.words = np.zeros(1 << (bits - 6), np.uint64)
-        self.words[words.word.to_numpy(np.int64)] = words.word_bits.to_numpy(np.int64).view(np.uint64)
+        self.words[words["word"].to_numpy()] = words["word_bits"].to_numpy().view(np.uint64)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         place = keys.view(np.uint64) & np.uint64((1 << self.bits) - 1)
