@@ -9,8 +9,8 @@ of the domains meet targets:
 
 by projected gradient from rate 1 (or ``max_rate`` if less).  The gradient needs only
 the residual of each domain: one aggregation per step, a few numbers on the driver.
-The weights m_d are the inverse row sums of the domains' Gram matrix, so a step of one
-never overshoots.  A document's rate is a chain of clipped linear steps over its own
+The weights m_d are the inverse row sums of the domains' Gram matrix (memberships add up
+to one, so these are token totals); a step that raises the misfit is halved.  A document's rate is a chain of clipped linear steps over its own
 probabilities: an ordinary column expression, nothing is kept between the steps.
 
 Everything is column expressions and Spark's own models; no Python on executors.
@@ -34,12 +34,14 @@ MAX_PER_DOMAIN = 1_500
 WORD_BUCKETS = 1 << 12
 STEPS = 25
 TOLERANCE = 1e-3
+#: Only rates strictly between the bounds follow a step, so a step is as long as these rows
+#: (plus this part of all rows) need to undo the residual.
+DAMPING = 0.1
 #: Targets out of reach: the fit ends when a step lowers the misfit by less than this part.
 STALLED = 0.02
-#: Without a total given: the most the scarcest domain allows, lowered by this factor
-#: until the totals lie within REACHED of their targets (relative to all tokens).
-SHRINK = 0.9
-ATTEMPTS = 6
+#: Without a total given: the parts of the most the scarcest domain allows that are aimed
+#: at in turn, until the totals lie within REACHED of their targets (relative to all tokens).
+PARTS = (0.99, 0.97, 0.94, 0.9, 0.85, 0.75, 0.6)
 REACHED = 2e-3
 
 
@@ -50,14 +52,14 @@ def _ratio(part: Column, whole: Column) -> Column:
 def _shape(text: Column) -> dict[str, Column]:
     """How a text looks: shares of kinds of characters, lengths."""
     size = F.length(text)
-    kept = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
+    # Only what is counted matches, so most of a text is merely looked at.
+    found = lambda pattern: size - F.length(F.regexp_replace(text, pattern, ""))
     words = F.size(F.col("_m_words"))
     lines = size - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     return {
-        "signs": _ratio(kept(r"[^%&*$#|!~^_=<>{}\[\]\\/+@]"), size),
-        "capitals": _ratio(kept(r"[^\p{Lu}]"), size),
-        "digits": _ratio(kept(r"[^0-9]"), size),
-        "spaces": _ratio(kept(r"[^\s]"), size),
+        "signs": _ratio(found(r"[%&*$#|!~^_=<>{}\[\]\\/+@]+"), size),
+        "capitals": _ratio(found(r"[A-Z]+"), size),
+        "digits": _ratio(found(r"[0-9]+"), size),
         "length": F.log1p(size),
         "word_length": _ratio(size, words),
         "line_words": F.log1p(_ratio(words, lines)),
@@ -67,17 +69,19 @@ def _shape(text: Column) -> dict[str, Column]:
 def _features(docs: DataFrame) -> DataFrame:
     """Rows with ``_m_text``: words and shape columns for the model."""
     text = F.col("_m_text")
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    worded = docs.withColumn("_m_words", words)
+    worded = docs if "_m_words" in docs.columns else docs.withColumn("_m_words", words_of(text))
     return worded.withColumns({f"_m_{k}": v.cast("double") for k, v in _shape(text).items()})
 
 
+def words_of(text: Column) -> Column:
+    """Lower-case runs of ASCII letters and digits and of all characters beyond ASCII."""
+    runs = F.split(F.lower(text), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    return F.array_remove(runs, "")
+
+
 def count_tokens(text: Column) -> Column:
-    """Runs of characters that are not white space."""
-    trimmed = F.trim(F.regexp_replace(text, r"\s+", " "))
-    return F.when(trimmed == "", 0).otherwise(
-        F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1
-    ).cast("long")
+    """The tokens of a text: its words."""
+    return F.size(words_of(text)).cast("long")
 
 
 @dataclass(frozen=True)
@@ -185,38 +189,48 @@ def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, toke
     sums = lambda factor: [
         F.coalesce(F.sum(factor * n * p[d]), F.lit(0.0)).alias(f"s{d}") for d in range(size)
     ]
-    gram = [
-        F.coalesce(F.sum(n * p[d] * p[e]), F.lit(0.0)).alias(f"g{d}_{e}") for d in range(size) for e in range(size)
-    ]
-    first = held.agg(*sums(F.lit(1.0)), *gram).first()
+    first = held.agg(*sums(F.lit(1.0))).first()
     whole = [first[f"s{d}"] for d in range(size)]
-    inverse = [1.0 / max(sum(first[f"g{d}_{e}"] for e in range(size)), 1e-9) for d in range(size)]
+
+    def misfit(residual: list[float]) -> float:
+        return sum(x * x / max(w, 1e-9) for x, w in zip(residual, whole, strict=True))
 
     def descend(total: float, start: float) -> tuple[Fit, bool]:
-        targets, steps = [total * s for s in share], []
-        totals, before = [start * s for s in whole], float("inf")
+        targets, steps, move = [total * s for s in share], [], []
+        totals, before, part = [start * s for s in whole], float("inf"), 1.0
+        moving = whole if 0 < start < max_rate else [0.0] * size
         while True:
             residual = [totals[d] - targets[d] for d in range(size)]
             off = max(abs(x) for x in residual) / max(total, 1e-9)
-            misfit = sum(x * x * m for x, m in zip(residual, inverse, strict=True))
-            if off <= TOLERANCE or misfit > (1 - STALLED) * before or len(steps) == STEPS:
-                return Fit(steps, start, max_rate, targets, totals), off <= REACHED
-            before = misfit
-            steps.append([residual[d] * inverse[d] for d in range(size)])
+            if off <= TOLERANCE or len(steps) >= STEPS:
+                break
+            now = misfit(residual)
+            if now < before:
+                if part == 1.0 and now > (1 - STALLED) * before:
+                    break
+                before, part = now, 1.0
+                move = [residual[d] / max(moving[d] + DAMPING * whole[d], 1e-9) for d in range(size)]
+                steps.append(move)
+            elif part < 0.1:
+                break
+            else:
+                # Too far: half of the same step again.
+                part /= 2
+                steps[-1] = [part * x for x in move]
             rated = held.select("_m_tokens", "_m_p", _rate(steps, start, max_rate).alias("_m_rate"))
-            got = rated.agg(*sums(F.col("_m_rate"))).first()
-            totals = [got[f"s{d}"] for d in range(size)]
+            free = (F.col("_m_rate") > 0) & (F.col("_m_rate") < max_rate)
+            inner = [F.coalesce(F.sum(F.when(free, n * p[d])), F.lit(0.0)).alias(f"f{d}") for d in range(size)]
+            got = rated.agg(*sums(F.col("_m_rate")), *inner).first()
+            totals, moving = [[got[f"{k}{d}"] for d in range(size)] for k in "sf"]
+        return Fit(steps, start, max_rate, targets, totals), off <= REACHED
 
     if tokens is not None:
         return descend(tokens, min(1.0, max_rate))[0]
-    total = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
-    start = min(1.0, max_rate)
-    for _ in range(ATTEMPTS):
-        total *= SHRINK
-        fit, reached = descend(total, start)
+    most = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
+    for part in PARTS:
+        fit, reached = descend(most * part, min(1.0, max_rate) * part)
         if reached:
             break
-        start *= SHRINK
     return fit
 
 
@@ -229,10 +243,11 @@ def copies(rate: Column, *keys: Column) -> Column:
 def _held(docs: DataFrame, model: DomainModel) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("_m_text")).withColumns(
-        {"_m_tokens": count_tokens(F.col("_m_text")), "_m_hash": F.xxhash64("_m_text")}
+        {"_m_words": words_of(F.col("_m_text")), "_m_hash": F.xxhash64("_m_text")}
     )
     with_p = model.memberships(rows, "_m_p")
-    return materialize(with_p.drop("_m_text"), "memberships")
+    tokens = F.size("_m_words").cast("long").alias("_m_tokens")
+    return materialize(with_p.select("doc_id", "_m_hash", tokens, "_m_p"), "memberships")
 
 
 def mixing_rates(
