@@ -10,7 +10,8 @@ of the domains meet targets:
 by projected gradient from rate 1 (or ``max_rate`` if less).  The gradient needs only
 the residual of each domain: one aggregation per step, a few numbers on the driver.
 The weights m_d are the inverse row sums of the domains' Gram matrix (memberships add up
-to one, so these are token totals); a step that raises the misfit is halved.  A document's rate is a chain of clipped linear steps over its own
+to one, so these are token totals); a step that raises the misfit is halved, and left out
+if no part of it helps.  A document's rate is a chain of clipped linear steps over its own
 probabilities: an ordinary column expression, nothing is kept between the steps.
 
 Everything is column expressions and Spark's own models; no Python on executors.
@@ -32,16 +33,19 @@ from tallyspark.session import materialize
 # Labelled rows read for training: at most so many of each domain, by a hash of the id.
 MAX_PER_DOMAIN = 1_500
 WORD_BUCKETS = 1 << 12
-STEPS = 25
-TOLERANCE = 1e-3
+STEPS = 40
+TOLERANCE = 1e-4
 #: Only rates strictly between the bounds follow a step, so a step is as long as these rows
 #: (plus this part of all rows) need to undo the residual.
 DAMPING = 0.1
 #: Targets out of reach: the fit ends when a step lowers the misfit by less than this part.
-STALLED = 0.02
+STALLED = 1e-3
+#: Parts of a step that are tried until one lowers the misfit.
+HALVINGS = (1.0, 0.5, 0.25, 0.125, 0.0625)
 #: Without a total given: the parts of the most the scarcest domain allows that are aimed
 #: at in turn, until the totals lie within REACHED of their targets (relative to all tokens).
-PARTS = (0.99, 0.97, 0.94, 0.9, 0.85, 0.75, 0.6)
+#: If none does, the nearest counts, and the larger total of two that differ by TOLERANCE at most.
+PARTS = (1.0, 0.99, 0.97, 0.94, 0.9, 0.85, 0.75, 0.6)
 REACHED = 2e-3
 
 
@@ -180,7 +184,8 @@ def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, toke
 
     ``tokens`` is the total aimed at, met as nearly as the rates allow.  By default it is
     the most that the scarcest domain allows at ``max_rate``, lowered in steps until the
-    targets are met (memberships are soft, so a document adds to several domains).
+    targets are met (memberships are soft, so a document adds to several domains).  Where
+    no total meets them, the one with the smallest relative misfit is returned.
     """
     size = len(weights)
     scale = sum(weights)
@@ -195,43 +200,46 @@ def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, toke
     def misfit(residual: list[float]) -> float:
         return sum(x * x / max(w, 1e-9) for x, w in zip(residual, whole, strict=True))
 
-    def descend(total: float, start: float) -> tuple[Fit, bool]:
-        targets, steps, move = [total * s for s in share], [], []
-        totals, before, part = [start * s for s in whole], float("inf"), 1.0
-        moving = whole if 0 < start < max_rate else [0.0] * size
-        while True:
-            residual = [totals[d] - targets[d] for d in range(size)]
-            off = max(abs(x) for x in residual) / max(total, 1e-9)
-            if off <= TOLERANCE or len(steps) >= STEPS:
-                break
-            now = misfit(residual)
-            if now < before:
-                if part == 1.0 and now > (1 - STALLED) * before:
+    def descend(total: float, start: float) -> tuple[Fit, float]:
+        """The fit, and the largest residual relative to ``total``."""
+        targets, steps = [total * s for s in share], []
+        totals, moving = [start * s for s in whole], whole
+        residual = [totals[d] - targets[d] for d in range(size)]
+        before = misfit(residual)
+        off = lambda: max(abs(x) for x in residual) / max(total, 1e-9)
+        stalled = False
+        while off() > TOLERANCE and len(steps) < STEPS and not stalled:
+            move = [residual[d] / max(moving[d] + DAMPING * whole[d], 1e-9) for d in range(size)]
+            for part in HALVINGS:
+                tried = [*steps, [part * x for x in move]]
+                rated = held.select("_m_tokens", "_m_p", _rate(tried, start, max_rate).alias("_m_rate"))
+                free = (F.col("_m_rate") > 0) & (F.col("_m_rate") < max_rate)
+                inner = [F.coalesce(F.sum(F.when(free, n * p[d])), F.lit(0.0)).alias(f"f{d}") for d in range(size)]
+                got = rated.agg(*sums(F.col("_m_rate")), *inner).first()
+                left = [got[f"s{d}"] - targets[d] for d in range(size)]
+                now = misfit(left)
+                if now < before:
                     break
-                before, part = now, 1.0
-                move = [residual[d] / max(moving[d] + DAMPING * whole[d], 1e-9) for d in range(size)]
-                steps.append(move)
-            elif part < 0.1:
-                break
             else:
-                # Too far: half of the same step again.
-                part /= 2
-                steps[-1] = [part * x for x in move]
-            rated = held.select("_m_tokens", "_m_p", _rate(steps, start, max_rate).alias("_m_rate"))
-            free = (F.col("_m_rate") > 0) & (F.col("_m_rate") < max_rate)
-            inner = [F.coalesce(F.sum(F.when(free, n * p[d])), F.lit(0.0)).alias(f"f{d}") for d in range(size)]
-            got = rated.agg(*sums(F.col("_m_rate")), *inner).first()
+                # No part of the step lowers the misfit: it is not taken.
+                break
+            stalled = part == 1.0 and now > (1 - STALLED) * before
+            steps, residual, before = tried, left, now
             totals, moving = [[got[f"{k}{d}"] for d in range(size)] for k in "sf"]
-        return Fit(steps, start, max_rate, targets, totals), off <= REACHED
+        return Fit(steps, start, max_rate, targets, totals), off()
 
     if tokens is not None:
         return descend(tokens, min(1.0, max_rate))[0]
     most = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
+    nearest, least = None, float("inf")
     for part in PARTS:
-        fit, reached = descend(most * part, min(1.0, max_rate) * part)
-        if reached:
-            break
-    return fit
+        fit, off = descend(most * part, min(1.0, max_rate) * part)
+        if off < least - TOLERANCE:
+            nearest, least = fit, off
+        if off <= REACHED:
+            # Met: no larger total was, so a nearer miss of one of them does not count.
+            return fit
+    return nearest
 
 
 def copies(rate: Column, *keys: Column) -> Column:

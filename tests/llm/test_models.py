@@ -162,6 +162,19 @@ def test_rates_on_known_memberships(spark, max_rate, weights):
         assert np.allclose(totals, fit.targets, rtol=0.01)
 
 
+def test_unreachable_targets_keep_the_nearest_total(spark):
+    # Every text has a tenth of the second domain: no total comes nearer than another.
+    alike = spark.createDataFrame([(10, [0.9, 0.1])] * 100, "_m_tokens long, _m_p array<double>")
+    most = 900 / 0.97
+    assert sum(mixing.fit_rates(alike, [0.97, 0.03]).totals) > 0.98 * most
+    # Here a smaller total has room to leave out the texts that spoil it.
+    rows_ = [(10, [0.95, 0.05])] * 50 + [(10, [0.85, 0.15])] * 50
+    held = spark.createDataFrame(rows_, "_m_tokens long, _m_p array<double>")
+    fits = [mixing.fit_rates(held, [0.97, 0.03]), mixing.fit_rates(held, [0.97, 0.03], tokens=most)]
+    off = [max(abs(a - b) for a, b in zip(f.totals, f.targets, strict=True)) / sum(f.targets) for f in fits]
+    assert off[0] < off[1] - 0.01
+
+
 def test_tokens(spark):
     df = spark.createDataFrame([("",), (" a  b\n\tc ",), ("one",), ("   ",)], "t string")
     assert [r[0] for r in df.select(mixing.count_tokens(F.col("t"))).collect()] == [0, 3, 1, 0]
