@@ -62,8 +62,9 @@ def _shape(text: Column) -> dict[str, Column]:
     lines = size - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     return {
         "signs": _ratio(found(r"[%&*$#|!~^_=<>{}\[\]\\/+@]+"), size),
-        "capitals": _ratio(found(r"[A-Z]+"), size),
+        "capitals": _ratio(found(r"\p{Lu}+"), size),
         "digits": _ratio(found(r"[0-9]+"), size),
+        "spaces": _ratio(size - _solid(F.col("_m_spaced")), size),
         "length": F.log1p(size),
         "word_length": _ratio(size, words),
         "line_words": F.log1p(_ratio(words, lines)),
@@ -73,19 +74,35 @@ def _shape(text: Column) -> dict[str, Column]:
 def _features(docs: DataFrame) -> DataFrame:
     """Rows with ``_m_text``: words and shape columns for the model."""
     text = F.col("_m_text")
-    worded = docs if "_m_words" in docs.columns else docs.withColumn("_m_words", words_of(text))
+    made = {"_m_words": words_of, "_m_spaced": spaced}
+    worded = docs.withColumns({k: f(text) for k, f in made.items() if k not in docs.columns})
     return worded.withColumns({f"_m_{k}": v.cast("double") for k, v in _shape(text).items()})
 
 
 def words_of(text: Column) -> Column:
-    """Lower-case runs of ASCII letters and digits and of all characters beyond ASCII."""
-    runs = F.split(F.lower(text), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-    return F.array_remove(runs, "")
+    """Lower-case runs of letters and digits of any script."""
+    # a-z and 0-9 are letters and digits too; named first they are settled at once.
+    return F.array_remove(F.split(F.lower(text), r"[^a-z0-9\p{L}\p{N}]+"), "")
+
+
+def spaced(text: Column) -> Column:
+    """The text with one space for every run of white space."""
+    return F.regexp_replace(text, r"[\s\x{85}\p{Z}]+", " ")
+
+
+def _solid(spaced: Column) -> Column:
+    """The number of characters that are not white space."""
+    return F.length(F.replace(spaced, F.lit(" "), F.lit("")))
+
+
+def _runs(spaced: Column) -> Column:
+    trimmed = F.trim(spaced)
+    return F.when(trimmed == "", 0).otherwise(F.length(trimmed) - _solid(trimmed) + 1).cast("long")
 
 
 def count_tokens(text: Column) -> Column:
-    """The tokens of a text: its words."""
-    return F.size(words_of(text)).cast("long")
+    """Runs of characters that are not white space."""
+    return _runs(spaced(text))
 
 
 @dataclass(frozen=True)
@@ -251,10 +268,14 @@ def copies(rate: Column, *keys: Column) -> Column:
 def _held(docs: DataFrame, model: DomainModel) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("_m_text")).withColumns(
-        {"_m_words": words_of(F.col("_m_text")), "_m_hash": F.xxhash64("_m_text")}
+        {
+            "_m_words": words_of(F.col("_m_text")),
+            "_m_spaced": spaced(F.col("_m_text")),
+            "_m_hash": F.xxhash64("_m_text"),
+        }
     )
     with_p = model.memberships(rows, "_m_p")
-    tokens = F.size("_m_words").cast("long").alias("_m_tokens")
+    tokens = _runs(F.col("_m_spaced")).alias("_m_tokens")
     return materialize(with_p.select("doc_id", "_m_hash", tokens, "_m_p"), "memberships")
 
 

@@ -180,6 +180,17 @@ def test_tokens(spark):
     assert [r[0] for r in df.select(mixing.count_tokens(F.col("t"))).collect()] == [0, 3, 1, 0]
 
 
+def test_words_and_shapes_of_any_script(spark):
+    texts = ["word\u2014word \u201cquoted\u201d", "\u4f60\u597d\u3002\u518d\u89c1", "one\u00a0two\u3000three", "\u0416\u00c9\u03a9 ab"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, _m_text string")
+    got = mixing._features(df).withColumn("n", mixing.count_tokens(F.col("_m_text"))).orderBy("i").collect()
+    assert [r._m_words for r in got] == [
+        ["word", "word", "quoted"], ["\u4f60\u597d", "\u518d\u89c1"], ["one", "two", "three"], ["\u0436\u00e9\u03c9", "ab"]
+    ]
+    assert [r.n for r in got] == [2, 1, 3, 2]
+    assert got[3]._m_capitals == 0.5 and got[2]._m_spaces == 2 / 13
+
+
 def test_mixing_edge_cases(spark, docs, labels):
     few = spark.createDataFrame([(1, "good"), (6, "good"), (None, "poor"), (8, "other")], "doc_id long, domain string")
     got = mixing.mixing_rates(edge_docs(spark), few, {"good": 0.5, "poor": 0.5}).collect()
