@@ -12,7 +12,8 @@ correction).  The class prior is the share of toxic rows among labelled rows.
 Features are the different words of a text and their beginnings of four to seven
 bytes.  Words are found in executors, counted by Spark over the training sample, and
 the ``MAX_FEATURES`` that speak most for the positives enter the model.  Scores are
-calibrated on labelled training rows (Platt), so 0.7 has a meaning.
+calibrated on labelled training rows (Platt), weighted to the share of positives among
+all usable labels, so 0.7 has a meaning.
 
 Training reads a bounded sample: at most ``MAX_POSITIVE`` positives, about
 ``MAX_UNLABELLED`` unlabelled texts and ``MAX_LABELLED`` labelled rows for the
@@ -116,19 +117,23 @@ def fit_nnpu(
     return theta[:-1], float(theta[-1])
 
 
-def fit_platt(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[float, float]:
+def fit_platt(
+    margins: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, steps: int = 50
+) -> tuple[float, float]:
     """Slope and offset of a logistic curve through labelled margins (ridge Newton).
 
-    Targets are drawn in a little from 0 and 1 so that separable rows stay finite.
+    A row counts ``weights`` times, once by default.  Targets are drawn in a little
+    from 0 and 1 so that separable rows stay finite.
     """
-    n_pos, n_neg = labels.sum(), (1 - labels).sum()
+    weights = np.ones_like(margins) if weights is None else weights
+    n_pos, n_neg = (weights * labels).sum(), (weights * (1 - labels)).sum()
     target = np.where(labels == 1, (n_pos + 1) / (n_pos + 2), 1 / (n_neg + 2))
     x = np.stack([margins, np.ones_like(margins)], axis=1)
     beta = np.array([1.0, 0.0])
     for _ in range(steps):
         p = _sigmoid(x @ beta)
-        grad = x.T @ (p - target) + 1e-3 * beta
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        grad = x.T @ (weights * (p - target)) + 1e-3 * beta
+        hess = (x * (weights * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         move = np.linalg.solve(hess, grad)
         beta = beta - np.clip(move, -2.0, 2.0)
         if np.abs(move).max() < 1e-8:
@@ -136,8 +141,11 @@ def fit_platt(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple
     return float(max(beta[0], 1e-3)), float(beta[1])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
-    """(text, toxic, positive, unlabelled): the bounded training rows, read in one pass."""
+def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> tuple[DataFrame, dict[int, float]]:
+    """(text, toxic, unlabelled): the bounded training rows, read in one pass.
+
+    And for how many usable labels one that was taken stands, by toxic.
+    """
     known = (
         labels.select(F.col("doc_id").alias("_id"), "toxic")
         .where(F.col("_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -150,10 +158,13 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
         by_hash.where("toxic = 1").limit(MAX_POSITIVE)
         .unionByName(by_hash.limit(MAX_LABELLED)).distinct()
     )
+    # Positives are taken beyond the labelled sample.
+    whole, taken = [{r[0]: r[1] for r in x.groupBy("toxic").count().collect()} for x in (known, chosen)]
+    stands_for = {toxic: whole[toxic] / n for toxic, n in taken.items()}
     share = min(1.0, MAX_UNLABELLED / max(1, docs.count()))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     # At most MAX_POSITIVE + MAX_LABELLED rows of two numbers are broadcast.
-    return (
+    rows = (
         docs.select("doc_id", utf8("text").alias("text"))
         .where(usable)
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left")
@@ -161,6 +172,7 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
         .where(F.col("unlabelled") | F.col("toxic").isNotNull())
         .select("text", "toxic", "unlabelled")
     )
+    return rows, stands_for
 
 
 def usable_id(column: str) -> Column:
@@ -210,7 +222,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     no features and gives every text the same low score.
     """
     small_batches(docs.sparkSession)
-    sample = materialize(_sample(docs, labels, usable_id("doc_id")), "toxicity-sample")
+    taken, stands_for = _sample(docs, labels, usable_id("doc_id"))
+    sample = materialize(taken, "toxicity-sample")
     sizes = sample.agg(
         F.expr("count_if(toxic = 1)"), F.expr("count_if(unlabelled)"), F.count("toxic")
     ).first()
@@ -234,7 +247,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not negatives:
         return Model(model.weights, bias, 1.0, 0.0)
     margins = _Rows(list(rows.found[known]), len(names)).dot(weights) + bias
-    slope, offset = fit_platt(margins, is_pos[known].to_numpy().astype(float))
+    # So many positives as there are among all labels: the threshold means the same for any number.
+    counts = rows.toxic[known].map(stands_for).to_numpy().astype(float)
+    slope, offset = fit_platt(margins, is_pos[known].to_numpy().astype(float), counts / counts.mean())
     return Model(model.weights, bias, slope, offset)
 
 

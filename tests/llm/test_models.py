@@ -107,6 +107,20 @@ def test_non_negative_risk_finds_the_positives():
     assert plain < bias
 
 
+def test_labels_beyond_the_caps_do_not_move_the_scores(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows_ = []
+    for i in range(3000):
+        toxic = int(i % 20 == 0)
+        slur = "slurred" if rng.random() < (0.8 if toxic else 0.05) else "mild"
+        rows_.append((i, f"{slur} word{rng.integers(0, 5)}", toxic))
+    df = spark.createDataFrame(rows_, "doc_id long, text string, toxic int").cache()
+    score = lambda: (m := toxicity.fit(df.drop("toxic"), df.drop("text"))).score(np.array([m.margin(b"slurred word1")]))
+    all_labels = score()
+    monkeypatch.setattr(toxicity, "MAX_LABELLED", 300)
+    assert abs(score() - all_labels) < 0.15
+
+
 def test_toxicity_edge_cases(spark, docs, labels):
     with_extra = labels.limit(5).selectExpr("doc_id", "toxic", "quality as text", "1 as unlabelled")
     report = toxicity.toxicity_report(edge_docs(spark), with_extra).collect()
