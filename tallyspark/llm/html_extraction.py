@@ -28,6 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ BROADCAST_PATHS = 500_000
 
 _COUNTED = "array<struct<value:bigint,n:int>>"
 _NODES = (
-    "host string, path bigint, above array<bigint>, protected boolean, share double, "
+    "host string, page bigint, path bigint, above array<bigint>, protected boolean, beside boolean, share double, "
     f"styles {_COUNTED}, texts {_COUNTED}"
 )
 
@@ -56,9 +57,11 @@ def _style_nodes(pages: DataFrame) -> DataFrame:
     schema = pa.schema(
         [
             ("host", pa.string()),
+            ("page", pa.int64()),
             ("path", pa.int64()),
             ("above", pa.list_(pa.int64())),
             ("protected", pa.bool_()),
+            ("beside", pa.bool_()),
             ("share", pa.float64()),
             ("styles", kinds),
             ("texts", kinds),
@@ -73,14 +76,19 @@ def _style_nodes(pages: DataFrame) -> DataFrame:
             rows = []
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 nodes = parse(html).nodes
+                page = xxhash.xxh64_intdigest(html) & (2**63 - 1)
+                articles = [node for node in nodes.values() if node.protected]
+                around = {path for node in articles for path in (*node.above, node.path)}
                 for node in nodes.values():
                     parent = nodes[node.above[-1]] if node.above else None
                     rows.append(
                         {
                             "host": host,
+                            "page": page,
                             "path": node.path,
                             "above": list(node.above),
                             "protected": node.protected,
+                            "beside": bool(articles) and node.path not in around,
                             "share": node.share / parent.times if parent else 1.0,
                             "styles": counted(node.styles),
                             "texts": counted(node.texts),
@@ -97,10 +105,11 @@ def _entropy(total: Column, weighted: Column) -> Column:
 
 
 def _importance(rows: DataFrame) -> DataFrame:
-    """(host, path, pages, protected, importance): composite, for every node of the trees."""
+    """(host, path, pages, protected, beside, importance): composite, for every node of the trees."""
     key = ["host", "path"]
     nodes = rows.groupBy(*key, "above").agg(
-        F.count("*").alias("pages"), F.avg("share").alias("share"), F.max("protected").alias("protected")
+        F.count("*").alias("pages"), F.avg("share").alias("share"), F.max("protected").alias("protected"),
+        F.min("beside").alias("beside"),
     )
     n_log_n = F.sum(F.col("n") * F.log("n"))
     styles = (
@@ -126,7 +135,7 @@ def _importance(rows: DataFrame) -> DataFrame:
         nodes.join(styles, key)
         .join(texts, key, "left")
         .select(
-            *key, "above", "pages", "protected", "share", damped.alias("damped"), style.alias("style"),
+            *key, "above", "pages", "protected", "beside", "share", damped.alias("damped"), style.alias("style"),
             text.alias("text"),
         ),
         "style-tree",
@@ -177,14 +186,19 @@ def _composite(nodes: DataFrame) -> DataFrame:
         .agg(F.sum(F.col("value") * F.col("z.weights")).alias("below"))
     )
     return valued.join(shared, key, "left").select(
-        *key, "above", "pages", "protected", (F.col("value") + F.coalesce("below", F.lit(0.0))).alias("importance")
+        *key, "above", "pages", "protected", "beside",
+        (F.col("value") + F.coalesce("below", F.lit(0.0))).alias("importance"),
     )
 
 
 def site_style_tree(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """(host, path, above, pages, protected, importance) of every node of every host's tree."""
+    """(host, path, above, pages, protected, beside, importance) of every node of every host's tree."""
+    return _importance(_nodes_of(pages, url_column, html_column))
+
+
+def _nodes_of(pages: DataFrame, url_column: str, html_column: str) -> DataFrame:
     small_batches(pages.sparkSession)
-    return _importance(materialize(_style_nodes(_known(pages, url_column, html_column)), "style-nodes"))
+    return materialize(_style_nodes(_known(pages, url_column, html_column)), "style-nodes")
 
 
 def _known(pages: DataFrame, url_column: str, html_column: str) -> DataFrame:
@@ -201,6 +215,19 @@ def noisy_paths(tree: DataFrame) -> DataFrame:
     return tree.where((low | lowest) & (F.size("above") > 0)).select("host", "path")
 
 
+def _removed(pages: DataFrame, url_column: str, html_column: str) -> DataFrame:
+    """(host, path) of the branches to remove, where copies of a page are no template.
+
+    Equal pages of a host count as one.  Only what lies beside an article on every page it
+    occurs on goes by the number of rows too: markup has said that the text is elsewhere.
+    """
+    rows = _nodes_of(pages, url_column, html_column)
+    # Equal pages have equal rows, so any of them will do.
+    different = noisy_paths(_importance(rows.dropDuplicates(["host", "page", "path"])))
+    beside = noisy_paths(_importance(rows).where("beside"))
+    return different.unionByName(beside).distinct()
+
+
 def _text_without(html: str | None, removed) -> str:
     """Blocks that are neither furniture nor on a removed path, joined by newlines."""
     if not html:
@@ -215,12 +242,10 @@ def extract_text(
     """``pages`` with the main text of the whole page in ``out``; empty if there is none.
 
     Null html gives empty text.  Pages without host are cleaned by their markup
-    alone.  Repeated rows count as several pages and all get their text.  All columns
+    alone.  Equal pages of a host are evidence of one page and all get their text.  All columns
     stay; ``out`` replaces one of that name.
     """
-    removed = materialize(
-        noisy_paths(site_style_tree(pages, url_column, html_column)).select("host", "path"), "noisy"
-    )
+    removed = materialize(_removed(pages, url_column, html_column), "noisy")
     host, _ = host_and_path(F.col(url_column))
     if removed.count() <= broadcast_paths:
         # Bounded by broadcast_paths short rows.

@@ -98,6 +98,13 @@ def test_articles_are_kept_where_pages_are_alike(spark):
     assert texts == {"same"}
 
 
+@pytest.mark.parametrize("pages, html", [(4, "<div><p>same</p></div>"), (30, "<article><p>same</p></article>")])
+def test_copies_are_no_template(spark, pages, html):
+    rows = [(i, f"http://h.org/?v={i}", html, None, None, None) for i in range(pages)]
+    got = extract_text(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert len(got) == pages and {r.text for r in got} == {"same"}
+
+
 def test_empty_table(spark):
     assert extract_text(spark.createDataFrame([], SCHEMA)).count() == 0
 
