@@ -14,7 +14,7 @@ MAX_DEPTH = 64
 
 # ---- Fixed values: HTML element groups and the words that name a page's furniture.
 SKIPPED = {
-    "button", "canvas", "iframe", "math", "noscript", "object", "script", "select", "style", "svg",
+    "button", "canvas", "iframe", "noscript", "object", "script", "select", "style", "svg",
     "template", "textarea", "title",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -49,6 +49,11 @@ FURNITURE_WORDS = {
     "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "topbar", "widget",
 }
+# Inside a line only these are taken out: other words name parts of a sentence there.
+ADVERT_WORDS = {
+    "ad", "adbox", "ads", "adslot", "adsense", "advert", "advertisement", "advertising", "adverts", "promo",
+    "promoted", "sponsor", "sponsored",
+}
 HEADER_WORDS = {"container", "global", "header", "main", "page", "site", "top", "wrap", "wrapper"}
 # ---- End of fixed values.
 
@@ -57,6 +62,8 @@ _REST = re.compile(r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""\shidden(?=[\s/>=]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# Names that say what a layout has or lacks, not what the element is.
+_MODIFIER = re.compile(r"(?<!\S)(?:has|no|with|without)[-_]\S*", re.IGNORECASE)
 _DIGITS = re.compile(r"\d{3,}")  # numbers of single posts, not of kinds of boxes
 
 
@@ -84,6 +91,7 @@ class _Open:
     furniture: bool
     article: bool
     block: bool
+    worded: int = -1  # the branch that only a class or id names as furniture
     children: list[int] = field(default_factory=list)
 
 
@@ -96,18 +104,28 @@ class Page:
 
 
 def _is_furniture(tag: str, words: set[str], role: str, in_article: bool) -> bool:
-    if tag in FURNITURE_TAGS or role in FURNITURE_ROLES or words & FURNITURE_WORDS:
+    if tag in FURNITURE_TAGS or role in FURNITURE_ROLES:
         return tag not in ARTICLE_TAGS and tag not in ("html", "body")
     is_header = tag == "header" or ("header" in words and words <= HEADER_WORDS)
     return is_header and not in_article
 
 
+def _is_worded(tag: str, words: set[str]) -> bool:
+    named = words & (FURNITURE_WORDS if tag in BLOCKS else ADVERT_WORDS)
+    return bool(named) and tag not in ARTICLE_TAGS and tag not in ("html", "body")
+
+
 class _Builder:
     def __init__(self):
         root = Node(_hash(0, "#page"), (), False)
         self.nodes = {root.path: root}
         self.stack = [_Open("#page", root, False, False, True)]
         self.blocks: list[tuple[int, bool, str]] = []
+        self.branches: list[int] = []  # of each block
+        self.worded = 0
+        self.held: set[int] = set()  # articles in such branches
+        self.inside: set[int] = set()  # such branches in articles
+        self.plain = False  # an article outside them
         self.pieces: list[str] = []
 
     def flush(self) -> None:
@@ -122,6 +140,7 @@ class _Builder:
             return
         top = self.stack[-1]
         self.blocks.append((top.node.path, top.furniture, text))
+        self.branches.append(top.worded)
         top.node.texts[xxhash.xxh64_intdigest(text) & (2**63 - 1)] += 1
         top.children.append(0)
 
@@ -131,17 +150,30 @@ class _Builder:
             found.setdefault(name.lower(), next((v for v in values if v), ""))
         top = self.stack[-1]
         names = f"{found.get('class', '')} {found.get('id', '')}"
-        words = {w.lower() for w in _WORD.findall(names)} if names != " " else set()
+        words = {w.lower() for w in _WORD.findall(_MODIFIER.sub("", names))} if names != " " else set()
         furniture = _is_furniture(tag, words, found.get("role", "").lower(), top.article)
         furniture = furniture or (bool(attributes) and bool(_HIDDEN.search(attributes)))
         block = tag in BLOCKS
-        if not block and not furniture:
+        worded = _is_worded(tag, words)
+        if not block and not furniture and not worded:
             return
         if block:
             self.end_implied(tag)
             top = self.stack[-1]
         self.flush()
-        article = top.article or tag in ARTICLE_TAGS or found.get("role", "").lower() in ("main", "article")
+        is_article = tag in ARTICLE_TAGS or found.get("role", "").lower() in ("main", "article")
+        article = top.article or is_article
+        # Inside a line an advert always goes; other branches are judged when the page is read.
+        furniture = furniture or (worded and not block)
+        branch = top.worded
+        if is_article and not top.article and branch < 0:
+            self.plain = self.plain or not (furniture or top.furniture)
+        elif (is_article and not top.article) or (worded and block and branch < 0):
+            branch, self.worded = self.worded, self.worded + 1
+            if is_article:
+                self.held.add(branch)
+            elif top.article:
+                self.inside.add(branch)
         if len(self.stack) > MAX_DEPTH:
             node = top.node
         else:
@@ -151,7 +183,7 @@ class _Builder:
             node = self.nodes.get(path)
             if node is None:
                 node = self.nodes[path] = Node(path, (*top.node.above, top.node.path), article)
-        self.stack.append(_Open(tag, node, furniture or top.furniture, article, block))
+        self.stack.append(_Open(tag, node, furniture or top.furniture, article, block, branch))
 
     def end_implied(self, tag: str) -> None:
         """Close the elements that the start of ``tag`` ends."""
@@ -186,7 +218,19 @@ class _Builder:
 
     def finish(self) -> Page:
         self.close_to(0)
-        return Page(self.blocks, self.nodes)
+        # A class or id does not take away most of a page's text, nor its only articles.
+        sizes = Counter()
+        for (_, furniture, text), branch in zip(self.blocks, self.branches, strict=True):
+            sizes[branch] += 0 if furniture else len(text)
+        whole = sum(sizes.values())
+        # An article outside such branches is the text, however long its comments are.
+        most = {b for b, n in sizes.items() if 2 * n > whole}
+        kept = {-1} | (most & self.inside if self.plain else most | self.held)
+        blocks = [
+            (path, furniture or branch not in kept, text)
+            for (path, furniture, text), branch in zip(self.blocks, self.branches, strict=True)
+        ]
+        return Page(blocks, self.nodes)
 
 
 def parse(text: str) -> Page:

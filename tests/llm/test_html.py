@@ -37,6 +37,23 @@ def test_blocks(html, blocks):
     assert kept(html) == blocks
 
 
+@pytest.mark.parametrize(
+    "html, blocks",
+    [
+        ("<div class='widget-page'><nav>n</nav><article>text</article><div class=ad>a</div></div>", ["text"]),
+        ("<div class='layout has-sidebar'><p>text</p></div><p>a longer text beside it", ["text", "a longer text beside it"]),
+        ("<div class='with_comments no-widget'>x</div>yy", ["x", "yy"]),
+        ("<div class='page widget'><p>most of the text</p></div><p>rest", ["most of the text", "rest"]),
+        ("<p>a <span class='notice'>short</span> and <a class='related'>linked</a> word", ["a short and linked word"]),
+        ("<article>so <math><mi>x</mi>=1</math> holds</article>", ["so x=1 holds"]),
+        ("<article>long text</article><div class=comments><article>c</article></div>", ["long text"]),
+        ("<aside><article>card</article></aside><div hidden><main>m</main></div>text", ["text"]),
+    ],
+)
+def test_names_do_not_take_the_text(html, blocks):
+    assert kept(html) == blocks
+
+
 def test_depth_is_bounded_and_text_kept():
     page = parse("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>after")
     assert [t for *_, t in page.blocks] == ["deep", "after"]
