@@ -13,5 +13,5 @@ def test_query_equals_sql(spark, name):
     assert differences(QUERIES[name](spark, SF), oracle_connection(SF), SQL[name]) == []
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_every_operator_is_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
