@@ -14,6 +14,7 @@ from tallyspark.llm import (
     prefix_trie,
     sharding,
     simhash,
+    substring_dedup,
     suffix_dedup,
     toxicity,
     turn_repair,
@@ -224,6 +225,27 @@ from whole join sums using (node, d) left join ends using (node, d)
 """
 
 
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_substring_dedup"] = r"""
+with
+d as (select row_number() over () as r, doc_id, coalesce(doc_id, 9223372036854775807) as rank,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (select r, rank, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50),
+keyed as (select r, rank, i, md5(array_to_string(w[i:i + 49], ' ')) as p from starts),
+hit as (select r, i from (select r, i, rank, min(rank) over (partition by p) as least from keyed) where least < rank),
+gone as (select distinct r, unnest(range(i, i + 50)) as k from hit),
+words as (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as k from d),
+kept as (select r, count(gone.k) as n_removed, string_agg(word, ' ' order by k) filter (gone.k is null) as text
+         from words left join gone using (r, k) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from d left join kept using (r)
+"""
+
+
 @query
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair_report(table(spark, sf_dir, "conversations"))
