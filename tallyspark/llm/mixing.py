@@ -5,22 +5,27 @@ domain.  A document with n tokens then holds n * p(domain) expected tokens of ea
 domain.  Non-negative rates per document are fitted so that the rated token totals
 of the domains meet targets:
 
-    minimise  sum over domains of m_d * (sum_i rate_i n_i p_i(d) - target_d)^2,   0 <= rate <= max_rate
-
-by projected gradient from rate 1 (or ``max_rate`` if less).  The gradient needs only
-the residual of each domain: one aggregation per step, a few numbers on the driver.
-The weights m_d are the inverse row sums of the domains' Gram matrix (memberships add up
-to one, so these are token totals); a step that raises the misfit is halved, and left out
-if no part of it helps.  A document's rate is a chain of clipped linear steps over its own
-probabilities: an ordinary column expression, nothing is kept between the steps.
+    minimise  sum over domains of (sum_i rate_i n_i p_i(d) - target_d)^2 / whole_d,   0 <= rate <= max_rate
+
+by projected gradient.  A step moves every rate by a combination of its document's
+probabilities and clips it to the bounds.  The combination is the residual through the
+inverse Gram matrix of the rows that can still move (d x d sums of the same job), damped
+by that of all rows: the gradient in a scale in which a step undoes the residual.  Of
+several dampings the one that lowers the misfit most is taken.  All dampings and all totals
+that are tried share one aggregation a step; a few numbers reach the driver.  A document's
+rate is a chain of clipped linear steps over its own probabilities, an ordinary
+expression over a literal: nothing is kept between the steps, and no code is
+compiled for a new one.
 
 Everything is column expressions and Spark's own models; no Python on executors.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, StandardScaler, VectorAssembler
@@ -28,25 +33,22 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm.common import smallest_by_hash
 from tallyspark.session import materialize
 
 # Labelled rows read for training: at most so many of each domain, by a hash of the id.
 MAX_PER_DOMAIN = 1_500
 WORD_BUCKETS = 1 << 12
-STEPS = 40
+#: Targets count as met where no domain's total misses by more than this part of all tokens.
 TOLERANCE = 1e-4
-#: Only rates strictly between the bounds follow a step, so a step is as long as these rows
-#: (plus this part of all rows) need to undo the residual.
-DAMPING = 0.1
 #: Targets out of reach: the fit ends when a step lowers the misfit by less than this part.
-STALLED = 1e-3
-#: Parts of a step that are tried until one lowers the misfit.
-HALVINGS = (1.0, 0.5, 0.25, 0.125, 0.0625)
-#: Without a total given: the parts of the most the scarcest domain allows that are aimed
-#: at in turn, until the totals lie within REACHED of their targets (relative to all tokens).
-#: If none does, the nearest counts, and the larger total of two that differ by TOLERANCE at most.
+STALLED = 1e-2
+#: Parts of the Gram matrix of all rows that are added to that of the rows that can move.
+DAMPINGS = (0.0, 0.01, 0.1, 1.0)
+#: Without a total given: the parts of the most the scarcest domain allows that are tried;
+#: the largest that meets the targets counts.  If none does, the nearest, and the larger
+#: of two that differ by TOLERANCE at most.
 PARTS = (1.0, 0.99, 0.97, 0.94, 0.9, 0.85, 0.75, 0.6)
-REACHED = 2e-3
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -107,52 +109,66 @@ def count_tokens(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class DomainModel:
-    """Gives probabilities of ``domains``; without a model every domain is as likely."""
+    """Gives probabilities of ``domains``.
+
+    ``known`` are the places of the domains with labelled texts; the others have
+    probability 0.  Without a model the known ones are as likely as each other.
+    """
 
     domains: list[str]
+    known: list[int]
     model: PipelineModel | None
 
     def memberships(self, docs: DataFrame, out: str) -> DataFrame:
         """``docs`` (with ``_m_text``) and an array of probabilities in ``out``."""
         if self.model is None:
-            share = 1.0 / max(1, len(self.domains))
-            return docs.withColumn(out, F.array(*[F.lit(share) for _ in self.domains]))
+            share = [1.0 / len(self.known) if d in self.known else 0.0 for d in range(len(self.domains))]
+            return docs.withColumn(out, F.array(*[F.lit(x) for x in share]))
         scored = self.model.transform(_features(docs))
-        return scored.select(*docs.columns, vector_to_array("_m_probability").alias(out))
+        found = vector_to_array("_m_probability")
+        place = {d: i for i, d in enumerate(self.known)}
+        p = F.array(*[found[place[d]] if d in place else F.lit(0.0) for d in range(len(self.domains))])
+        return scored.select(*docs.columns, p.alias(out))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DomainModel:
     """A soft classifier from ``labelled`` (doc_id, domain).
 
     Rows without id or with another domain are ignored, of an id with several domains
-    the first in the alphabet counts.  With fewer than two domains there is no model.
+    the first in the alphabet counts.  A domain without labelled texts is left out, whichever
+    it is; with one domain left all texts belong to it, with none to all alike.
     """
     names = F.array(*[F.lit(d) for d in domains])
     known = (
         labelled.where(F.col("doc_id").isNotNull() & F.array_contains(names, F.col("domain")))
         .groupBy(F.col("doc_id").alias("_m_id"))
-        .agg((F.array_position(names, F.min("domain")) - 1).cast("double").alias("_m_label"))
+        .agg((F.array_position(names, F.min("domain")) - 1).cast("int").alias("_m_domain"))
     )
+    labels = {r[0]: r[1] for r in known.groupBy("_m_domain").count().collect()}
     chosen = None
-    for i in range(len(domains)):
-        part = known.where(F.col("_m_label") == i).orderBy(F.xxhash64("_m_id"), "_m_id").limit(MAX_PER_DOMAIN)
+    for i, total in sorted(labels.items()):
+        part = smallest_by_hash(known.where(F.col("_m_domain") == i), "_m_id", MAX_PER_DOMAIN, total)
         chosen = part if chosen is None else chosen.unionByName(part)
+    everything = list(range(len(domains)))
+    if chosen is None:
+        return DomainModel(domains, everything, None)
     # At most MAX_PER_DOMAIN short rows for each domain are broadcast.
     rows = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_m_text"))
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_m_id"))
-        .select("_m_text", "_m_label")
+        .select("_m_text", "_m_domain")
     )
     sample = materialize(rows, "labelled-domains")
-    counts = {int(r[0]): r[1] for r in sample.groupBy("_m_label").count().collect()}
+    counts = {r[0]: r[1] for r in sample.groupBy("_m_domain").count().collect()}
+    places = sorted(counts)
+    if len(places) < 2:
+        return DomainModel(domains, places or everything, None)
     # A domain's rows weigh as many as it has labels, so the sample's equal parts do
     # not make rare domains likelier.
-    labels = {int(r[0]): r[1] for r in known.groupBy("_m_label").count().collect()}
-    weight = F.lit(0.0)
-    for i, n in counts.items():
-        weight = F.when(F.col("_m_label") == i, labels[i] / n).otherwise(weight)
-    if len(counts) < 2:
-        return DomainModel(domains, None)
+    weight, label = F.lit(0.0), F.lit(0.0)
+    for i, domain in enumerate(places):
+        weight = F.when(F.col("_m_domain") == domain, labels[domain] / counts[domain]).otherwise(weight)
+        label = F.when(F.col("_m_domain") == domain, float(i)).otherwise(label)
     shape = [f"_m_{k}" for k in _shape(F.lit(""))]
     stages = [
         HashingTF(inputCol="_m_words", outputCol="_m_hashed", numFeatures=WORD_BUCKETS, binary=True),
@@ -165,97 +181,131 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Dom
             family="multinomial", regParam=0.005, standardization=False, maxIter=30,
         ),
     ]
-    model = Pipeline(stages=stages).fit(
-        _features(sample.withColumn("_m_weight", weight)).coalesce(6)
-    )
-    if len(domains) > model.stages[-1].numClasses:
-        # The last domains have no labelled row: no probability can be given for them.
-        raise ValueError("the last domain has no labelled documents")
-    return DomainModel(domains, model)
+    train = sample.withColumns({"_m_weight": weight, "_m_label": label})
+    return DomainModel(domains, places, Pipeline(stages=stages).fit(_features(train).coalesce(6)))
 
 
-def _rate(steps: list[list[float]], start: float, max_rate: float) -> Column:
-    """The rate after the given steps: r <- clip(r - sum_d step_d * p_d)."""
-    rate = f"{start!r}D"
-    for step in steps:
-        move = " + ".join(f"({x!r}D) * _m_p[{d}]" for d, x in enumerate(step))
-        rate = f"least({max_rate!r}D, greatest(0D, {rate} - ({move})))"
-    return F.expr(rate)
+_TRIED = "array<struct<id:int,start:double,steps:array<array<double>>>>"
 
 
-@dataclass(frozen=True)
+def _literal(tried: list[tuple[int, float, list[list[float]]]]) -> Column:
+    """Chains of steps as one literal."""
+    rows = [{"id": i, "start": start, "steps": steps} for i, start, steps in tried]
+    return F.from_json(F.lit(json.dumps(rows)), _TRIED)
+
+
+def _rate(chain: Column, size: int, max_rate: float) -> Column:
+    """The rate after a chain of steps: r <- clip(r - sum_d step_d * p_d)."""
+
+    def move(rate: Column, step: Column) -> Column:
+        dot = step[0] * F.col("_m_p")[0]
+        for d in range(1, size):
+            dot = dot + step[d] * F.col("_m_p")[d]
+        return F.greatest(F.lit(0.0), F.least(F.lit(float(max_rate)), rate - dot))
+
+    return F.aggregate(chain["steps"], chain["start"], move)
+
+
+@dataclass
 class Fit:
-    steps: list[list[float]]
+    """A chain of steps and the totals it gives; ``off``: the largest miss, as a part of all tokens."""
+
     start: float
     max_rate: float
     targets: list[float]
     totals: list[float]
+    gram: np.ndarray
+    steps: list[list[float]]
+    ended: bool = False
+
+    @property
+    def residual(self) -> np.ndarray:
+        return np.array(self.totals) - np.array(self.targets)
+
+    @property
+    def off(self) -> float:
+        return float(np.abs(self.residual).max() / max(sum(self.targets), 1e-9))
 
     @property
     def rate(self) -> Column:
-        return _rate(self.steps, self.start, self.max_rate)
+        return _rate(_literal([(0, self.start, self.steps)])[0], len(self.targets), self.max_rate)
 
 
 def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, tokens: float | None = None) -> Fit:
     """Fit rates on rows with ``_m_tokens`` and ``_m_p`` (memberships).
 
     ``tokens`` is the total aimed at, met as nearly as the rates allow.  By default it is
-    the most that the scarcest domain allows at ``max_rate``, lowered in steps until the
-    targets are met (memberships are soft, so a document adds to several domains).  Where
-    no total meets them, the one with the smallest relative misfit is returned.
+    the most that the scarcest domain allows at ``max_rate``, or the largest of some
+    smaller totals for which the targets are met (memberships are soft, so a document adds
+    to several domains).  Where no total meets them, the one with the smallest relative
+    misfit is returned.
     """
     size = len(weights)
     scale = sum(weights)
     share = [w / scale for w in weights]
     n, p = F.col("_m_tokens"), [F.col("_m_p")[d] for d in range(size)]
-    sums = lambda factor: [
-        F.coalesce(F.sum(factor * n * p[d]), F.lit(0.0)).alias(f"s{d}") for d in range(size)
+    pairs = [(d, e) for d in range(size) for e in range(d, size)]
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0.0))
+    # The Gram matrix of what a step can move: a row by n p(d) a unit of p(e).
+    sums = [
+        *[total(F.col("_m_rate") * n * p[d]).alias(f"s{d}") for d in range(size)],
+        *[total(F.when(F.col("_m_free"), n * p[d] * p[e])).alias(f"g{d}_{e}") for d, e in pairs],
     ]
-    first = held.agg(*sums(F.lit(1.0))).first()
-    whole = [first[f"s{d}"] for d in range(size)]
-
-    def misfit(residual: list[float]) -> float:
-        return sum(x * x / max(w, 1e-9) for x, w in zip(residual, whole, strict=True))
-
-    def descend(total: float, start: float) -> tuple[Fit, float]:
-        """The fit, and the largest residual relative to ``total``."""
-        targets, steps = [total * s for s in share], []
-        totals, moving = [start * s for s in whole], whole
-        residual = [totals[d] - targets[d] for d in range(size)]
-        before = misfit(residual)
-        off = lambda: max(abs(x) for x in residual) / max(total, 1e-9)
-        stalled = False
-        while off() > TOLERANCE and len(steps) < STEPS and not stalled:
-            move = [residual[d] / max(moving[d] + DAMPING * whole[d], 1e-9) for d in range(size)]
-            for part in HALVINGS:
-                tried = [*steps, [part * x for x in move]]
-                rated = held.select("_m_tokens", "_m_p", _rate(tried, start, max_rate).alias("_m_rate"))
-                free = (F.col("_m_rate") > 0) & (F.col("_m_rate") < max_rate)
-                inner = [F.coalesce(F.sum(F.when(free, n * p[d])), F.lit(0.0)).alias(f"f{d}") for d in range(size)]
-                got = rated.agg(*sums(F.col("_m_rate")), *inner).first()
-                left = [got[f"s{d}"] - targets[d] for d in range(size)]
-                now = misfit(left)
-                if now < before:
-                    break
-            else:
-                # No part of the step lowers the misfit: it is not taken.
-                break
-            stalled = part == 1.0 and now > (1 - STALLED) * before
-            steps, residual, before = tried, left, now
-            totals, moving = [[got[f"{k}{d}"] for d in range(size)] for k in "sf"]
-        return Fit(steps, start, max_rate, targets, totals), off()
+
+    def read(row) -> tuple[list[float], np.ndarray]:
+        gram = np.zeros((size, size))
+        for d, e in pairs:
+            gram[d, e] = gram[e, d] = row[f"g{d}_{e}"]
+        return [row[f"s{d}"] for d in range(size)], gram
+
+    everything = held.withColumns({"_m_rate": F.lit(1.0), "_m_free": F.lit(True)}).agg(*sums).first()
+    whole, gram_of_all = read(everything)
+    worth = np.array([1.0 / max(w, 1e-9) for w in whole])
+
+    def misfit(totals, targets) -> float:
+        return float((worth * (np.array(totals) - np.array(targets)) ** 2).sum())
+
+    def begin(aim: float, start: float) -> Fit:
+        # Every rate may leave its start.
+        return Fit(start, max_rate, [aim * s for s in share], [start * w for w in whole], gram_of_all, [])
 
     if tokens is not None:
-        return descend(tokens, min(1.0, max_rate))[0]
-    most = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
-    nearest, least = None, float("inf")
-    for part in PARTS:
-        fit, off = descend(most * part, min(1.0, max_rate) * part)
-        if off < least - TOLERANCE:
-            nearest, least = fit, off
-        if off <= REACHED:
-            # Met: no larger total was, so a nearer miss of one of them does not count.
-            return fit
+        fits = [begin(tokens, min(1.0, max_rate))]
+    else:
+        most = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
+        fits = [begin(most * part, min(1.0, max_rate) * part) for part in PARTS]
+    free = (F.col("_m_rate") > 0) & (F.col("_m_rate") < max_rate)
+    while True:
+        met = next((i for i, fit in enumerate(fits) if fit.off <= TOLERANCE), len(fits))
+        # A total smaller than one that is met does not count any more.
+        open_ = [fit for fit in fits[:met] if not fit.ended]
+        if not open_:
+            break
+        tried = []
+        for fit in open_:
+            for part in DAMPINGS:
+                step = np.linalg.lstsq(fit.gram + part * gram_of_all, fit.residual, rcond=1e-12)[0]
+                tried.append((fit, [*fit.steps, step.tolist()]))
+        chains = _literal([(i, fit.start, steps) for i, (fit, steps) in enumerate(tried)])
+        rated = held.select("_m_tokens", "_m_p", F.explode(chains).alias("_m_chain")).select(
+            "_m_tokens", "_m_p", F.col("_m_chain.id").alias("id"), _rate(F.col("_m_chain"), size, max_rate).alias("_m_rate")
+        )
+        rows = {r["id"]: r for r in rated.withColumn("_m_free", free).groupBy("id").agg(*sums).collect()}
+        if not rows:
+            break
+        for fit in open_:
+            found = [(steps, *read(rows[i])) for i, (of, steps) in enumerate(tried) if of is fit]
+            steps, totals, gram = min(found, key=lambda x: misfit(x[1], fit.targets))
+            before, now = misfit(fit.totals, fit.targets), misfit(totals, fit.targets)
+            fit.ended = now > (1 - STALLED) * before
+            if now < before:
+                fit.steps, fit.totals, fit.gram = steps, totals, gram
+    if met < len(fits):
+        return fits[met]
+    nearest = fits[0]
+    for fit in fits[1:]:
+        if fit.off < nearest.off - TOLERANCE:
+            nearest = fit
     return nearest
 
 
@@ -285,14 +335,18 @@ def mixing_rates(
 ) -> DataFrame:
     """Per document: doc_id, n_tokens, memberships (by domain), rate, copies, text_hash.
 
-    ``weights`` gives every domain its share of the tokens.  Null and empty texts have no
+    ``weights`` gives every domain its share of the tokens.  A domain without labelled texts
+    is left out: its memberships are 0 and the others share its tokens.  Null and empty texts have no
     tokens; their rate follows from their memberships like any other.  Repeated
     rows get equal rates and draws.  An empty table gives no rows.
     """
     domains = sorted(weights)
     model = fit_domains(docs, labelled, domains)
     held = _held(docs, model)
-    fit = fit_rates(held, [weights[d] for d in domains], max_rate, tokens)
+    used = [weights[d] if i in model.known else 0.0 for i, d in enumerate(domains)]
+    if not sum(used):
+        used = [1.0 if i in model.known else 0.0 for i in range(len(domains))]
+    fit = fit_rates(held, used, max_rate, tokens)
     named = F.struct(*[F.col("_m_p")[i].alias(d) for i, d in enumerate(domains)])
     return held.withColumn("rate", fit.rate).select(
         "doc_id",

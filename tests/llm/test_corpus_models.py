@@ -172,8 +172,59 @@ def test_rates_on_known_memberships(spark, max_rate, weights):
     assert all(0 <= r <= max_rate for r in rates)
     totals = [sum(r * n * p[d] for r, (n, p) in zip(rates, rows_, strict=True)) for d in range(2)]
     assert np.allclose(totals, fit.totals)
-    if min(weights) > 0:
-        assert np.allclose(totals, fit.targets, rtol=0.01)
+    assert fit.off <= mixing.TOLERANCE
+
+
+def plain_least_squares(tokens, p, targets, max_rate, rounds=200_000):
+    """The smallest misfit of any rates: coordinate by coordinate, without Spark."""
+    worth = 1 / (tokens @ p)
+    rate, miss = np.full(len(tokens), max_rate), max_rate * (tokens @ p) - targets
+    for i in np.tile(np.arange(len(tokens)), rounds // len(tokens)):
+        row = tokens[i] * p[i]
+        if not tokens[i]:
+            continue
+        new = np.clip(rate[i] - (worth * miss) @ row / ((worth * row) @ row), 0, max_rate)
+        miss += (new - rate[i]) * row
+        rate[i] = new
+    return (worth * miss**2).sum()
+
+
+@pytest.mark.parametrize("share", [[0.5, 0.3, 0.2], [0.9, 0.06, 0.04], [0.99, 0.005, 0.005]])
+def test_misfit_is_the_smallest(spark, share):
+    """Against an independent bounded least squares, also where targets are out of reach."""
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([0.6, 0.3, 0.2], 400)
+    tokens = rng.integers(0, 300, 400).astype(float)
+    total = 0.5 * tokens.sum()
+    held = spark.createDataFrame(
+        [(int(n), q.tolist()) for n, q in zip(tokens, p, strict=True)], "_m_tokens long, _m_p array<double>"
+    )
+    fit = mixing.fit_rates(held, share, 1.0, total)
+    worth = 1 / (tokens @ p)
+    got = (worth * (np.array(fit.totals) - total * np.array(share)) ** 2).sum()
+    least = plain_least_squares(tokens, p, total * np.array(share), 1.0)
+    assert got <= least * 1.02 + 1e-6 * total
+
+
+@pytest.mark.parametrize("weights", [
+    {"good": 0.6, "zz": 0.1, "poor": 0.3}, {"aa": 0.1, "good": 0.6, "poor": 0.3}, {"good": 0.6, "oo": 0.1, "poor": 0.3},
+])
+def test_a_domain_without_labels_is_left_out(docs, labels, weights):
+    """Alike at every place of the alphabet: the others share its tokens."""
+    rates = mixing.mixing_rates(docs, labelled_domains(labels), weights).toPandas()
+    odd = next(d for d in weights if d not in ("good", "poor"))
+    of = lambda d: rates.memberships.map(lambda m: m[d])
+    assert (of(odd) == 0).all()
+    total = (rates.rate * rates.n_tokens).sum()
+    assert abs((rates.rate * rates.n_tokens * of("good")).sum() / total - 2 / 3) < 1e-3
+    assert rates.copies.sum() > 100
+
+
+def test_one_labelled_domain_or_none(spark, docs, labels):
+    only = mixing.mixing_rates(docs, labelled_domains(labels), {"good": 0.5, "other": 0.5}).toPandas()
+    assert only.memberships.map(lambda m: (m["good"], m["other"])).eq((1.0, 0.0)).all() and (only.copies == 1).all()
+    none = mixing.mixing_rates(docs, labelled_domains(labels), {"x": 0.5, "y": 0.5}).toPandas()
+    assert none.memberships.map(lambda m: (m["x"], m["y"])).eq((0.5, 0.5)).all() and (none.copies == 1).all()
 
 
 def test_unreachable_targets_keep_the_nearest_total(spark):
