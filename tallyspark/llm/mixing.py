@@ -7,15 +7,15 @@ of the domains meet targets:
 
     minimise  sum over domains of (sum_i rate_i n_i p_i(d) - target_d)^2 / whole_d,   0 <= rate <= max_rate
 
-by projected gradient.  A step moves every rate by a combination of its document's
-probabilities and clips it to the bounds.  The combination is the residual through the
-inverse Gram matrix of the rows that can still move (d x d sums of the same job), damped
-by that of all rows: the gradient in a scale in which a step undoes the residual.  Of
-several dampings the one that lowers the misfit most is taken.  All dampings and all totals
-that are tried share one aggregation a step; a few numbers reach the driver.  A document's
-rate is a chain of clipped linear steps over its own probabilities, an ordinary
-expression over a literal: nothing is kept between the steps, and no code is
-compiled for a new one.
+by projected gradient.  A step is a combination of a document's probabilities: the
+residual through the inverse Gram matrix of the rows that can still move (d x d sums of
+the same job), damped by that of all rows, which is the gradient in a scale in which a
+step undoes the residual.  Steps add up, and the sum is projected: a rate is its start less
+the sum of its steps, clipped to the bounds.  Of several dampings the one that lowers the
+misfit most is taken.  All dampings, and the totals
+that are tried together, share one aggregation a step; a few numbers reach the driver.  A document's
+rate is one clipped linear expression over its own probabilities and a literal: nothing is
+kept between the steps, and no code is compiled for a new one.
 
 Everything is column expressions and Spark's own models; no Python on executors.
 """
@@ -26,10 +26,9 @@ import json
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizerModel, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +40,17 @@ MAX_PER_DOMAIN = 1_500
 WORD_BUCKETS = 1 << 12
 #: Targets count as met where no domain's total misses by more than this part of all tokens.
 TOLERANCE = 1e-4
-#: Targets out of reach: the fit ends when a step lowers the misfit by less than this part.
-STALLED = 1e-2
+#: A total is given up when a step lowers its misfit by less than this part: while totals
+#: are tried, and for the one that is returned without its targets met.
+SLOW, STALLED = 0.2, 1e-2
 #: Parts of the Gram matrix of all rows that are added to that of the rows that can move.
 DAMPINGS = (0.0, 0.01, 0.1, 1.0)
 #: Without a total given: the parts of the most the scarcest domain allows that are tried;
 #: the largest that meets the targets counts.  If none does, the nearest, and the larger
 #: of two that differ by TOLERANCE at most.
 PARTS = (1.0, 0.99, 0.97, 0.94, 0.9, 0.85, 0.75, 0.6)
+#: So many of them share the aggregations of a descent.
+AT_A_TIME = 2
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -74,11 +76,12 @@ def _shape(text: Column) -> dict[str, Column]:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """Rows with ``_m_text``: words and shape columns for the model."""
+    """Rows with ``_m_text``: word buckets and shape columns for the model."""
     text = F.col("_m_text")
     made = {"_m_words": words_of, "_m_spaced": spaced}
     worded = docs.withColumns({k: f(text) for k, f in made.items() if k not in docs.columns})
-    return worded.withColumns({f"_m_{k}": v.cast("double") for k, v in _shape(text).items()})
+    shapes = {f"_m_{k}": v.cast("double") for k, v in _shape(text).items()}
+    return worded.withColumns({**shapes, "_m_buckets": buckets_of(F.col("_m_words"))})
 
 
 def words_of(text: Column) -> Column:
@@ -87,9 +90,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^a-z0-9\p{L}\p{N}]+"), "")
 
 
+def buckets_of(words: Column) -> Column:
+    """The different hash buckets of the words."""
+    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(WORD_BUCKETS))))
+
+
 def spaced(text: Column) -> Column:
-    """The text with one space for every run of white space."""
-    return F.regexp_replace(text, r"[\s\x{85}\p{Z}]+", " ")
+    """The text with one space for every run of white space (of any script)."""
+    return F.regexp_replace(text, r"(?U)\s+", " ")
 
 
 def _solid(spaced: Column) -> Column:
@@ -107,28 +115,45 @@ def count_tokens(text: Column) -> Column:
     return _runs(spaced(text))
 
 
+def _summed_weights(words: list[float]) -> Column:
+    """The weights of a text's buckets, from a literal: the same code whatever the numbers."""
+    weights = F.from_json(F.lit(json.dumps(words)), "array<double>")
+    return F.aggregate("_m_buckets", F.lit(0.0), lambda s, b: s + weights[b])
+
+
 @dataclass(frozen=True)
 class DomainModel:
     """Gives probabilities of ``domains``.
 
     ``known`` are the places of the domains with labelled texts; the others have
-    probability 0.  Without a model the known ones are as likely as each other.
+    probability 0.  Without ``weights`` the known ones are as likely as each other.
+    ``weights`` has for each known domain the offset, one weight for each shape of a text
+    (by its mean and deviation taken in) and one for each bucket of words.
     """
 
     domains: list[str]
     known: list[int]
-    model: PipelineModel | None
+    weights: list[tuple[float, dict[str, float], list[float]]] | None
 
     def memberships(self, docs: DataFrame, out: str) -> DataFrame:
         """``docs`` (with ``_m_text``) and an array of probabilities in ``out``."""
-        if self.model is None:
+        if self.weights is None:
             share = [1.0 / len(self.known) if d in self.known else 0.0 for d in range(len(self.domains))]
             return docs.withColumn(out, F.array(*[F.lit(x) for x in share]))
-        scored = self.model.transform(_features(docs))
-        found = vector_to_array("_m_probability")
+        scores = []
+        for offset, shape, words in self.weights:
+            score = F.lit(offset) + _summed_weights(words)
+            for name, weight in shape.items():
+                score = score + F.lit(weight) * F.col(name)
+            scores.append(score)
+        made = _features(docs).withColumn("_m_scores", F.array(*scores))
+        largest = F.array_max("_m_scores")
+        made = made.withColumn("_m_odds", F.transform("_m_scores", lambda s: F.exp(s - largest)))
+        whole = F.aggregate("_m_odds", F.lit(0.0), lambda a, b: a + b)
         place = {d: i for i, d in enumerate(self.known)}
-        p = F.array(*[found[place[d]] if d in place else F.lit(0.0) for d in range(len(self.domains))])
-        return scored.select(*docs.columns, p.alias(out))
+        odds = F.col("_m_odds")
+        p = F.array(*[odds[place[d]] / whole if d in place else F.lit(0.0) for d in range(len(self.domains))])
+        return made.withColumn(out, p).select(*docs.columns, out)
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DomainModel:
@@ -170,52 +195,60 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Dom
         weight = F.when(F.col("_m_domain") == domain, labels[domain] / counts[domain]).otherwise(weight)
         label = F.when(F.col("_m_domain") == domain, float(i)).otherwise(label)
     shape = [f"_m_{k}" for k in _shape(F.lit(""))]
+    names = [str(i) for i in range(WORD_BUCKETS)]
     stages = [
-        HashingTF(inputCol="_m_words", outputCol="_m_hashed", numFeatures=WORD_BUCKETS, binary=True),
+        CountVectorizerModel.from_vocabulary(names, inputCol="_m_names", outputCol="_m_counted", binary=True),
         VectorAssembler(inputCols=shape, outputCol="_m_shape"),
         StandardScaler(inputCol="_m_shape", outputCol="_m_scaled", withMean=True),
-        VectorAssembler(inputCols=["_m_hashed", "_m_scaled"], outputCol="_m_features"),
+        VectorAssembler(inputCols=["_m_counted", "_m_scaled"], outputCol="_m_features"),
         LogisticRegression(
             featuresCol="_m_features", labelCol="_m_label", probabilityCol="_m_probability",
             rawPredictionCol="_m_raw", predictionCol="_m_prediction", weightCol="_m_weight",
             family="multinomial", regParam=0.005, standardization=False, maxIter=30,
         ),
     ]
-    train = sample.withColumns({"_m_weight": weight, "_m_label": label})
-    return DomainModel(domains, places, Pipeline(stages=stages).fit(_features(train).coalesce(6)))
-
-
-_TRIED = "array<struct<id:int,start:double,steps:array<array<double>>>>"
-
-
-def _literal(tried: list[tuple[int, float, list[list[float]]]]) -> Column:
-    """Chains of steps as one literal."""
-    rows = [{"id": i, "start": start, "steps": steps} for i, start, steps in tried]
+    train = _features(sample.withColumns({"_m_weight": weight, "_m_label": label}))
+    named = train.withColumn("_m_names", F.col("_m_buckets").cast("array<string>")).coalesce(6)
+    model = Pipeline(stages=stages).fit(named)
+    scaler, regression = model.stages[2], model.stages[4]
+    rows, offsets = regression.coefficientMatrix.toArray(), regression.interceptVector.toArray()
+    mean, deviation = scaler.mean.toArray(), scaler.std.toArray()
+    scale = np.divide(1.0, deviation, out=np.zeros_like(deviation), where=deviation > 0)
+    weights = []
+    for row, offset in zip(rows, offsets, strict=True):
+        own = row[WORD_BUCKETS:] * scale
+        by_shape = dict(zip(shape, own.tolist(), strict=True))
+        weights.append((float(offset - own @ mean), by_shape, row[:WORD_BUCKETS].tolist()))
+    return DomainModel(domains, places, weights)
+
+
+_TRIED = "array<struct<id:int,start:double,move:array<double>>>"
+
+
+def _literal(tried: list[tuple[int, float, list[float]]]) -> Column:
+    """Starts and sums of steps as one literal."""
+    rows = [{"id": i, "start": start, "move": move} for i, start, move in tried]
     return F.from_json(F.lit(json.dumps(rows)), _TRIED)
 
 
-def _rate(chain: Column, size: int, max_rate: float) -> Column:
-    """The rate after a chain of steps: r <- clip(r - sum_d step_d * p_d)."""
-
-    def move(rate: Column, step: Column) -> Column:
-        dot = step[0] * F.col("_m_p")[0]
-        for d in range(1, size):
-            dot = dot + step[d] * F.col("_m_p")[d]
-        return F.greatest(F.lit(0.0), F.least(F.lit(float(max_rate)), rate - dot))
-
-    return F.aggregate(chain["steps"], chain["start"], move)
+def _rate(tried: Column, size: int, max_rate: float) -> Column:
+    """clip(start - sum_d move_d * p_d)."""
+    moved = tried["start"]
+    for d in range(size):
+        moved = moved - tried["move"][d] * F.col("_m_p")[d]
+    return F.greatest(F.lit(0.0), F.least(F.lit(float(max_rate)), moved))
 
 
 @dataclass
 class Fit:
-    """A chain of steps and the totals it gives; ``off``: the largest miss, as a part of all tokens."""
+    """A sum of steps and the totals it gives; ``off``: the largest miss, as a part of all tokens."""
 
     start: float
     max_rate: float
     targets: list[float]
     totals: list[float]
     gram: np.ndarray
-    steps: list[list[float]]
+    move: list[float]
     ended: bool = False
 
     @property
@@ -228,7 +261,7 @@ class Fit:
 
     @property
     def rate(self) -> Column:
-        return _rate(_literal([(0, self.start, self.steps)])[0], len(self.targets), self.max_rate)
+        return _rate(_literal([(0, self.start, self.move)])[0], len(self.targets), self.max_rate)
 
 
 def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, tokens: float | None = None) -> Fit:
@@ -267,45 +300,54 @@ def fit_rates(held: DataFrame, weights: list[float], max_rate: float = 1.0, toke
 
     def begin(aim: float, start: float) -> Fit:
         # Every rate may leave its start.
-        return Fit(start, max_rate, [aim * s for s in share], [start * w for w in whole], gram_of_all, [])
+        return Fit(start, max_rate, [aim * s for s in share], [start * w for w in whole], gram_of_all, [0.0] * size)
 
-    if tokens is not None:
-        fits = [begin(tokens, min(1.0, max_rate))]
-    else:
-        most = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
-        fits = [begin(most * part, min(1.0, max_rate) * part) for part in PARTS]
     free = (F.col("_m_rate") > 0) & (F.col("_m_rate") < max_rate)
-    while True:
-        met = next((i for i, fit in enumerate(fits) if fit.off <= TOLERANCE), len(fits))
-        # A total smaller than one that is met does not count any more.
-        open_ = [fit for fit in fits[:met] if not fit.ended]
-        if not open_:
-            break
-        tried = []
-        for fit in open_:
-            for part in DAMPINGS:
-                step = np.linalg.lstsq(fit.gram + part * gram_of_all, fit.residual, rcond=1e-12)[0]
-                tried.append((fit, [*fit.steps, step.tolist()]))
-        chains = _literal([(i, fit.start, steps) for i, (fit, steps) in enumerate(tried)])
-        rated = held.select("_m_tokens", "_m_p", F.explode(chains).alias("_m_chain")).select(
-            "_m_tokens", "_m_p", F.col("_m_chain.id").alias("id"), _rate(F.col("_m_chain"), size, max_rate).alias("_m_rate")
-        )
-        rows = {r["id"]: r for r in rated.withColumn("_m_free", free).groupBy("id").agg(*sums).collect()}
-        if not rows:
-            break
-        for fit in open_:
-            found = [(steps, *read(rows[i])) for i, (of, steps) in enumerate(tried) if of is fit]
-            steps, totals, gram = min(found, key=lambda x: misfit(x[1], fit.targets))
-            before, now = misfit(fit.totals, fit.targets), misfit(totals, fit.targets)
-            fit.ended = now > (1 - STALLED) * before
-            if now < before:
-                fit.steps, fit.totals, fit.gram = steps, totals, gram
-    if met < len(fits):
-        return fits[met]
-    nearest = fits[0]
-    for fit in fits[1:]:
-        if fit.off < nearest.off - TOLERANCE:
-            nearest = fit
+
+    def descend(fits: list[Fit], slow: float) -> Fit | None:
+        """The first of the fits that meets its targets, the others as near as they get."""
+        while True:
+            met = next((i for i, fit in enumerate(fits) if fit.off <= TOLERANCE), len(fits))
+            # A total smaller than one that is met does not count any more.
+            open_ = [fit for fit in fits[:met] if not fit.ended]
+            if not open_:
+                return fits[met] if met < len(fits) else None
+            tried = []
+            for fit in open_:
+                for part in DAMPINGS:
+                    step = np.linalg.lstsq(fit.gram + part * gram_of_all, fit.residual, rcond=1e-12)[0]
+                    tried.append((fit, (np.array(fit.move) + step).tolist()))
+            points = _literal([(i, fit.start, move) for i, (fit, move) in enumerate(tried)])
+            rated = held.select("_m_tokens", "_m_p", F.explode(points).alias("_m_tried")).select(
+                "_m_tokens", "_m_p", F.col("_m_tried.id").alias("id"), _rate(F.col("_m_tried"), size, max_rate).alias("_m_rate")
+            )
+            rows = {r["id"]: r for r in rated.withColumn("_m_free", free).groupBy("id").agg(*sums).collect()}
+            for fit in open_:
+                found = [(move, *read(rows[i])) for i, (of, move) in enumerate(tried) if of is fit and i in rows]
+                if not found:
+                    fit.ended = True
+                    continue
+                move, totals, gram = min(found, key=lambda x: misfit(x[1], fit.targets))
+                before, now = misfit(fit.totals, fit.targets), misfit(totals, fit.targets)
+                fit.ended = now > (1 - slow) * before
+                if now < before:
+                    fit.move, fit.totals, fit.gram = move, totals, gram
+
+    if tokens is not None:
+        fit = begin(tokens, min(1.0, max_rate))
+        descend([fit], STALLED)
+        return fit
+    most = max_rate * min((whole[d] / share[d] for d in range(size) if share[d] > 0), default=0.0)
+    nearest = None
+    for i in range(0, len(PARTS), AT_A_TIME):
+        fits = [begin(most * part, min(1.0, max_rate) * part) for part in PARTS[i : i + AT_A_TIME]]
+        if met := descend(fits, SLOW):
+            return met
+        for fit in fits:
+            if nearest is None or fit.off < nearest.off - TOLERANCE:
+                nearest = fit
+    nearest.ended = False
+    descend([nearest], STALLED)
     return nearest
 
 
