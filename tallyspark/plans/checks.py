@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyspark.operators import quality
@@ -30,14 +32,59 @@ GRAIN = {
 }
 
 
+# Models that several checks read, each after those it is computed from.
+SHARED = (
+    "stg_marketing_ad_spend",
+    "stg_developer_plg_events",
+    "stg_github_telemetry",
+    "stg_hackernews_buzz",
+    "dim_campaigns",
+    "dim_developer_projects",
+    "fct_channel_efficiency_daily",
+    "fct_marketing_triangulation_daily",
+)
+
+
+def _broken(name: str) -> dict[str, Column]:
+    """The conditions under which a row of a model breaks a null or sign check."""
+    broken = {f"{name}.{c} not null": F.col(c).isNull() for c in NOT_NULL.get(name, [])}
+    return broken | {f"{name}.{c} non-negative": F.col(c) < 0 for c in NON_NEGATIVE.get(name, [])}
+
+
 def column_checks(models: MeasurementModels) -> list[DataFrame]:
     """Null and sign checks: one pass over each model, whatever the number of columns."""
-    results = []
-    for name in dict.fromkeys([*NOT_NULL, *NON_NEGATIVE]):
-        broken = {f"{name}.{c} not null": F.col(c).isNull() for c in NOT_NULL.get(name, [])}
-        broken |= {f"{name}.{c} non-negative": F.col(c) < 0 for c in NON_NEGATIVE.get(name, [])}
-        results.append(quality.row_checks(getattr(models, name), broken))
-    return results
+    return [
+        quality.row_checks(getattr(models, name), _broken(name))
+        for name in dict.fromkeys([*NOT_NULL, *NON_NEGATIVE])
+    ]
+
+
+def store_observed(models: MeasurementModels, folder: str, names: Sequence[str] = SHARED) -> DataFrame:
+    """Store models and count what breaks their null and sign checks in the same pass.
+
+    One row per check, like :func:`column_checks`; the counts are taken while the rows are
+    written, so no table is read for them.  Later checks read the stored tables.
+    """
+    counts = []
+    for name in names:
+        broken = _broken(name)
+        if not broken:
+            models.store(folder, name)
+            continue
+        seen = Observation(f"{name} checks")
+        df = getattr(models, name)
+        models.__dict__[name] = df.observe(
+            seen, *[F.count_if(condition).alias(str(i)) for i, condition in enumerate(broken.values())]
+        )
+        models.store(folder, name)
+        counts += [(check, seen.get[str(i)]) for i, check in enumerate(broken)]
+    return df.sparkSession.createDataFrame(counts, "check_name string, n_violations long")
+
+
+def observed_report(models: MeasurementModels, folder: str) -> DataFrame:
+    """The rows of :func:`report`, each model computed once: stored, and checked on the way."""
+    columns = store_observed(models, folder)
+    return quality.report([columns, *key_checks(models), *reconciliation_checks(models)])
 
 
 def key_checks(models: MeasurementModels) -> list[DataFrame]:

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.operators import adstock, attribution, geo, lifecycle, staging
 from tallyspark.params import DEFAULTS, MeasurementParams
 from tallyspark.plans import exports, marts
-from tallyspark.sources.files import scan_csv, write_table
+from tallyspark.sources.files import scan_csv
 from tallyspark.sources.schemas import RAW_SCHEMAS
+from tallyspark.sources.versions import VersionedTable
 
 VIEWS = (
     "stg_marketing_ad_spend",
@@ -75,17 +76,22 @@ class MeasurementModels:
         self.repo_name = repo_name
 
     def store(self, folder: str, *names: str) -> MeasurementModels:
-        """Write models as tables (full refresh) and go on from the stored rows.
+        """Publish models as tables (full refresh) and go on from the stored rows.
 
         Whatever depends on a stored model reads its table instead of computing
-        it again, so store what several later steps share.
+        it again, so store what several later steps share.  Readers of a table
+        (:meth:`stored`) see the version before until the new one is complete.
         """
         for name in names or MARTS:
-            df, path = getattr(self, name), f"{folder}/{name}"
-            write_table(df, path)
-            self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+            df = getattr(self, name)
+            self.__dict__[name] = VersionedTable(df.sparkSession, f"{folder}/{name}").publish(df)
         return self
 
+    @staticmethod
+    def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+        """The newest published version of a stored model."""
+        return VersionedTable(spark, f"{folder}/{name}").read()
+
     def register_views(self, *names: str) -> None:
         """Make models queryable by name in SQL; nothing is computed."""
         for name in names or VIEWS:

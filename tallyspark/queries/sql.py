@@ -22,7 +22,11 @@ def with_tables(query: str) -> str:
             needed.add(name)
             texts.append(_TABLES[name])
     parts = [f"{name} as ({sql})" for name, sql in _TABLES.items() if name in needed]
-    return ("with " + ",\n".join(parts) + "\n" if parts else "") + query.strip()
+    body = query.strip()
+    if not parts:
+        return body
+    own = body[len("with "):] if body.startswith("with ") else None
+    return "with " + ",\n".join(parts) + (",\n" + own if own else "\n" + body)
 
 
 # ------------------------------------------------------------------ inputs

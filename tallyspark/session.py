@@ -63,10 +63,10 @@ def _on_one_machine(spark: SparkSession, path: str) -> bool:
     """Does the path name a local file system that is not declared to be a shared mount?"""
     if spark.conf.get(SHARED_MOUNT_KEY, "false") == "true":
         return False
-    return _file_system(spark, path).getScheme() == "file"
+    return file_system(spark, path).getScheme() == "file"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
@@ -76,7 +76,7 @@ def clear_shared(spark: SparkSession) -> bool:
     """Remove what this application wrote in between; results read from there are gone too."""
     base = os.path.dirname(shared_folder(spark, "any"))
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
-    return _file_system(spark, base).delete(path, True)
+    return file_system(spark, base).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

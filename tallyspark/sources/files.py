@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StringType, StructType, TimestampType
 
 _CSV = {
     "header": "true",
@@ -38,6 +40,118 @@ def scan_csv(
     )
 
 
+_BROKEN = "_broken_record"
+
+
+def scan_csv_checked(
+    spark: SparkSession, path: str, schema: str, multi_line: bool = False, required: Sequence[str] = (),
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """A typed scan that sets unfit rows aside: (typed rows, rejected rows).
+
+    Every field is read as text and cast on its own.  A row with a field that does not
+    cast, without a value in a ``required`` column, or with too many or too few fields is
+    rejected; an empty field is NULL.  Rejects have ``record`` (the line as written if its
+    fields cannot be told apart, else its fields written again), ``column`` (null: the
+    line as a whole) and ``reason``; a row with several faults has several rejects.
+    Both results are lazy and read the files on their own; nothing is sorted or collected.
+    """
+    wanted = StructType.fromDDL(schema)
+    as_text = StructType()
+    for field in wanted:
+        as_text = as_text.add(field.name, StringType())
+    lines = (
+        spark.read.schema(as_text.add(_BROKEN, StringType()))
+        .options(
+            **{**_CSV, "header": str(header).lower()}, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN, enforceSchema="true",
+            multiLine=str(multi_line).lower(),
+        )
+        .csv(path)
+    )
+    text = {f.name: F.col(f"`{f.name}`") for f in wanted}
+    typed = {f.name: text[f.name].try_cast(f.dataType) for f in wanted}
+    fault = lambda column, reason: F.struct(F.lit(column).cast("string").alias("column"), F.lit(reason).alias("reason"))
+    faults = [F.when(F.col(_BROKEN).isNotNull(), fault(None, "wrong number of fields"))]
+    whole = F.col(_BROKEN).isNull()
+    for f in wanted:
+        unfit = whole & text[f.name].isNotNull() & typed[f.name].isNull()
+        faults.append(F.when(unfit, fault(f.name, f"not a {f.dataType.simpleString()}")))
+        if f.name in required:
+            faults.append(F.when(whole & text[f.name].isNull(), fault(f.name, "missing")))
+    checked = lines.withColumn("_faults", F.array_compact(F.array(*faults)))
+    good = checked.where(F.size("_faults") == 0).select(*[typed[f.name].alias(f.name) for f in wanted])
+    again = F.to_csv(F.struct(*[text[f.name].alias(f.name) for f in wanted]), {"escape": '"'})
+    bad = checked.where(F.size("_faults") > 0).select(
+        F.coalesce(F.col(_BROKEN), again).alias("record"), F.explode("_faults").alias("f")
+    )
+    return good, bad.select("record", "f.column", "f.reason")
+
+
+DELIMITERS = (",", ";", "\t", "|")
+
+
+def sniff_csv(spark: SparkSession, path: str, delimiters: Sequence[str] = DELIMITERS) -> dict[str, object]:
+    """The dialect of delimited files: ``delimiter``, ``quote``, ``header`` and ``columns``.
+
+    Every candidate pair of delimiter and quote is tried on every line, in one aggregation: a
+    line's fields are counted after its quoted parts are taken out.  The pair under which most
+    lines agree on a number of fields above one wins; on ties the larger number, then the
+    quote that more lines use, then the earlier delimiter and the double quote.  There is a header if no field of the first
+    line is empty or a number and a later line has a number in some column.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    pairs = [(d, q) for d in delimiters for q in ('"', "'")]
+
+    def fields(d: str, q: str) -> Column:
+        # A quoted part begins after a delimiter or at the start of the line.
+        bare = F.regexp_replace("value", f"(^|\\Q{d}\\E){q}([^{q}]|{q}{q})*{q}", "$1")
+        # What is quoted must be gone: an odd quote left over speaks against the pair.
+        n = F.when(~bare.contains(q), F.size(F.split(bare, f"\\Q{d}\\E")))
+        return F.struct(n.alias("n"), (F.length(bare) < F.length("value")).cast("int").alias("quoted"))
+
+    numbers = F.array(*[fields(d, q) for d, q in pairs])
+    tried = lines.select(F.posexplode(numbers).alias("pair", "f")).select("pair", "f.*").where("n > 1")
+    counts = tried.groupBy("pair", "n").agg(F.count("*").alias("lines"), F.sum("quoted").alias("quoted")).collect()
+    if not counts:
+        return {"delimiter": delimiters[0], "quote": '"', "header": False, "columns": 1}
+    best = min(counts, key=lambda r: (-r["lines"], -r["n"], -r["quoted"], r["pair"]))
+    delimiter, quote = pairs[best["pair"]]
+    dialect = {"delimiter": delimiter, "quote": quote, "columns": best["n"]}
+    return {**dialect, "header": _has_header(spark, path, delimiter, quote)}
+
+
+_NUMBER = r"^\s*[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?\s*$"
+
+
+def _has_header(spark: SparkSession, path: str, delimiter: str, quote: str) -> bool:
+    rows = spark.read.options(sep=delimiter, quote=quote, escape=quote).csv(path)
+    first = rows.first()
+    number = lambda c: F.coalesce(F.col(f"`{c}`").rlike(_NUMBER), F.lit(False))
+    is_name = [v is not None and v.strip() != "" and not re.match(_NUMBER, v) for v in first]
+    if not all(is_name):
+        return False
+    return rows.agg(F.max(_any([number(c) for c in rows.columns]))).first()[0]
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(Column.__or__, conditions)
+
+
+def scan_sniffed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Files whose dialect and types are found by looking at all of their lines.
+
+    Columns without a header are named ``column0``, ``column1`` and so on.
+    """
+    found = sniff_csv(spark, path)
+    options = {**_CSV, "sep": found["delimiter"], "quote": found["quote"], "escape": found["quote"]}
+    df = spark.read.options(
+        **{**options, "header": str(found["header"]).lower()}, inferSchema="true", preferDate="true", mode="FAILFAST"
+    ).csv(path)
+    names = df.columns if found["header"] else [f"column{i}" for i in range(len(df.columns))]
+    kinds = {f.name: "timestamp_ntz" for f in df.schema if f.dataType == TimestampType()}
+    return df.select(*[F.col(f"`{c}`").cast(kinds.get(c, df.schema[c].dataType)).alias(n) for c, n in zip(df.columns, names, strict=True)])
+
+
 def infer_csv(
     spark: SparkSession, path: str, sampling_ratio: float = 1.0, multi_line: bool = False
 ) -> DataFrame:
