@@ -223,9 +223,9 @@ def test_a_domain_without_labels_is_left_out(docs, labels, weights):
 
 def test_one_labelled_domain_or_none(spark, docs, labels):
     only = mixing.mixing_rates(docs, labelled_domains(labels), {"good": 0.5, "other": 0.5}).toPandas()
-    assert only.memberships.map(lambda m: (m["good"], m["other"])).eq((1.0, 0.0)).all() and (only.copies == 1).all()
+    assert {(m["good"], m["other"]) for m in only.memberships} == {(1.0, 0.0)} and (only.copies == 1).all()
     none = mixing.mixing_rates(docs, labelled_domains(labels), {"x": 0.5, "y": 0.5}).toPandas()
-    assert none.memberships.map(lambda m: (m["x"], m["y"])).eq((0.5, 0.5)).all() and (none.copies == 1).all()
+    assert {(m["x"], m["y"]) for m in none.memberships} == {(0.5, 0.5)} and (none.copies == 1).all()
 
 
 def test_unreachable_targets_keep_the_nearest_total(spark):
