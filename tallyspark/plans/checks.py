@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -32,16 +32,20 @@ GRAIN = {
 }
 
 
-# Models that several checks read, each after those it is computed from.
+# Models that several checks read; those of a group do not depend on one another.
 SHARED = (
-    "stg_marketing_ad_spend",
-    "stg_developer_plg_events",
-    "stg_github_telemetry",
-    "stg_hackernews_buzz",
-    "dim_campaigns",
-    "dim_developer_projects",
-    "fct_channel_efficiency_daily",
-    "fct_marketing_triangulation_daily",
+    (
+        "stg_marketing_ad_spend",
+        "stg_developer_plg_events",
+        "stg_github_telemetry",
+        "stg_hackernews_buzz",
+        "dim_campaigns",
+    ),
+    (
+        "dim_developer_projects",
+        "fct_channel_efficiency_daily",
+        "fct_marketing_triangulation_daily",
+    ),
 )
 
 
@@ -59,26 +63,32 @@ def column_checks(models: MeasurementModels) -> list[DataFrame]:
     ]
 
 
-def store_observed(models: MeasurementModels, folder: str, names: Sequence[str] = SHARED) -> DataFrame:
+def store_observed(models: MeasurementModels, folder: str, groups=SHARED, at_a_time: int = 4) -> DataFrame:
     """Store models and count what breaks their null and sign checks in the same pass.
 
     One row per check, like :func:`column_checks`; the counts are taken while the rows are
-    written, so no table is read for them.  Later checks read the stored tables.
+    written, so no table is read for them.  Later checks read the stored tables.  The
+    models of a group are stored side by side, so that small ones do not wait for the cluster.
     """
-    counts = []
-    for name in names:
+
+    def store(name: str) -> list[tuple[str, int]]:
         broken = _broken(name)
         if not broken:
             models.store(folder, name)
-            continue
+            return []
         seen = Observation(f"{name} checks")
-        df = getattr(models, name)
-        models.__dict__[name] = df.observe(
-            seen, *[F.count_if(condition).alias(str(i)) for i, condition in enumerate(broken.values())]
-        )
+        counted = [F.count_if(condition).alias(str(i)) for i, condition in enumerate(broken.values())]
+        models.__dict__[name] = getattr(models, name).observe(seen, *counted)
         models.store(folder, name)
-        counts += [(check, seen.get[str(i)]) for i, check in enumerate(broken)]
-    return df.sparkSession.createDataFrame(counts, "check_name string, n_violations long")
+        return [(check, seen.get[str(i)]) for i, check in enumerate(broken)]
+
+    counts = []
+    with ThreadPoolExecutor(at_a_time) as pool:
+        for names in groups:
+            for found in pool.map(store, names):
+                counts += found
+    spark = models.stg_marketing_ad_spend.sparkSession
+    return spark.createDataFrame(counts, "check_name string, n_violations long")
 
 
 def observed_report(models: MeasurementModels, folder: str) -> DataFrame:
