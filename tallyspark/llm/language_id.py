@@ -32,8 +32,8 @@ from tallyspark.session import materialize
 BUCKETS = 1 << 14
 EFFECTIVE = 60.0
 PRIOR_WEIGHT = 10.0
-# Languages with the most labelled texts; a model has at most so many.
-MAX_LANGUAGES = 100
+# Languages whose trigrams are counted in one pass over the labelled texts.
+LANGUAGES_AT_A_TIME = 100
 _FLOOR = 0.05  # pseudo-count of a trigram bucket
 _CHUNK = 4_000_000
 _LETTERS = bytes(
@@ -87,9 +87,18 @@ def fit_text(labelled: DataFrame, text_column: str = "text", label_column: str =
     spark = labelled.sparkSession
     small_batches(spark)
     label = F.col(label_column)
-    named = labelled.where(label.isNotNull()).groupBy(label.alias("label")).count()
-    top = named.orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["label"] for r in top)
+    # Every label counts; the model takes 64 KB for each.
+    languages = sorted(r[0] for r in labelled.where(label.isNotNull()).select(label).distinct().collect())
+    rows = labelled.select(label.alias("label"), utf8(text_column).alias("text"))
+    blocks = [
+        _log_shares(rows, languages[i : i + LANGUAGES_AT_A_TIME])
+        for i in range(0, len(languages), LANGUAGES_AT_A_TIME)
+    ]
+    return TextModel(languages, np.concatenate([np.zeros((0, BUCKETS), np.float32), *blocks]))
+
+
+def _log_shares(rows: DataFrame, languages: list[str]) -> np.ndarray:
+    """Bucket log probabilities of some languages (``rows``: label, text), one row each."""
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches):
@@ -99,27 +108,25 @@ def fit_text(labelled: DataFrame, text_column: str = "text", label_column: str =
             texts = batch.column("text").to_pylist()
             for first, part in _parts(texts):
                 bucket, owner = _trigrams(part)
-                which = np.array([place.get(x, -1) for x in labels[first : first + len(part)]])[owner]
-                known = which >= 0
-                flat = which[known] * BUCKETS + bucket[known]
+                which = np.array([place[x] for x in labels[first : first + len(part)]])[owner]
+                flat = which * BUCKETS + bucket
                 sums += np.bincount(flat, minlength=sums.size).reshape(sums.shape)
         which, bucket = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(which), pa.array(bucket), pa.array(sums[which, bucket])], names=["which", "bucket", "n"]
         )
 
+    # At most LANGUAGES_AT_A_TIME * BUCKETS short rows reach the driver.
+    counts = (
+        rows.where(F.col("label").isin(*languages))
+        .mapInArrow(count, "which long, bucket long, n long")
+        .groupBy("which", "bucket")
+        .agg(F.sum("n").alias("n"))
+        .toPandas()
+    )
     table = np.full((len(languages), BUCKETS), _FLOOR)
-    if languages:
-        rows = labelled.select(label.alias("label"), utf8(text_column).alias("text"))
-        # At most MAX_LANGUAGES * BUCKETS short rows reach the driver.
-        counts = (
-            rows.mapInArrow(count, "which long, bucket long, n long")
-            .groupBy("which", "bucket")
-            .agg(F.sum("n").alias("n"))
-            .toPandas()
-        )
-        table[counts["which"], counts["bucket"]] += counts["n"]
-    return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
+    table[counts["which"], counts["bucket"]] += counts["n"]
+    return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
 def text_evidence(model: TextModel, text: Column) -> Column:
@@ -206,7 +213,6 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
         )
     scored = materialize(rows.withColumn("evidence", text_evidence(model, F.col("text"))).drop("text"), "evidence")
     known = scored.withColumn("by_text", _posterior(F.col("evidence")))
-    known = materialize(known, "text-posteriors")
 
     each = [F.coalesce(F.sum(F.col("by_text")[i]), F.lit(0.0)) for i in range(size)]
     # One row: the share of each language over all rows.
@@ -238,12 +244,20 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
         count = F.aggregate(sums, F.lit(0.0), lambda a, b: a + b)
         return F.zip_with(sums, parent, lambda n, p: (n + F.lit(PRIOR_WEIGHT) * p) / (count + F.lit(PRIOR_WEIGHT)))
 
+    # Rows without a key meet nothing; a hash of the row spreads them over the tasks.
+    spread = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*others, "evidence"), F.lit(1 << 20)).cast("string"))
+
+    def with_group(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+        right = right.withColumnRenamed(key, "_group")
+        return left.join(right, F.coalesce(F.col(key), spread) == F.col("_group"), "left").drop("_group")
+
+    joined = known
+    for key, right in (
+        ("declared", likelihood("declared")), ("suffix", likelihood("suffix")), ("domain", domains), ("host", hosts)
+    ):
+        joined = with_group(joined, right, key)
     joined = (
-        known.join(likelihood("declared"), "declared", "left")
-        .join(likelihood("suffix"), "suffix", "left")
-        .join(domains, "domain", "left")
-        .join(hosts, "host", "left")
-        .withColumn("domain_sums", without_own(F.col("domain_sums")))
+        joined.withColumn("domain_sums", without_own(F.col("domain_sums")))
         .withColumn("host_sums", without_own(F.col("host_sums")))
         .withColumn("domain_prior", smoothed(F.col("domain_sums"), general))
         .withColumn("prior", smoothed(F.col("host_sums"), F.col("domain_prior")))

@@ -7,8 +7,9 @@ last of equals), which depends on the window's bytes alone.  So:
 
 1. All texts are cut into anchor ranges: the windows that have the same run as their
    anchor.  Anchors that occur once are settled: nothing there repeats.
-2. Ranges with equal bytes are one class.  All windows of a class with two or more
-   ranges repeat; it needs no sorting, however many copies there are.
+2. Ranges with the same anchor and 128-bit digest of their bytes are one class.  All
+   windows of a class with two or more ranges repeat; it needs no sorting, however many
+   copies there are.
 3. The suffixes of the remaining classes that share an anchor are sorted together:
    a mergesort that compares by prefix polynomial hashes and binary search, with
    bytes compared where hashes agree (:mod:`suffix_sort`).  Neighbours that agree on
@@ -107,12 +108,13 @@ class Ranges:
     def bytes_of(self, i: int) -> bytes:
         return self.joined[self.low[i] : self.low[i] + self.windows[i] - 1 + self.length]
 
-    def classes(self, chosen: np.ndarray) -> np.ndarray:
-        """A hash of the bytes and the offset for each chosen range."""
-        digest = xxhash.xxh64_intdigest
-        return np.fromiter(
-            (digest(self.bytes_of(i), int(self.offset[i])) for i in chosen), np.uint64, len(chosen)
-        ).view(np.int64)
+    def classes(self, chosen: np.ndarray) -> pa.Array:
+        """A 128-bit digest of the bytes and the offset for each chosen range.
+
+        With the anchor's own 64 bits, classes agree in 192 bits or are not the same.
+        """
+        digest = xxhash.xxh3_128_digest
+        return pa.array([digest(self.bytes_of(i), int(self.offset[i])) for i in chosen], pa.binary())
 
 
 class BitMap:
@@ -168,7 +170,7 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return counts.where("n > 1").select("anchor")
 
 
-_OCCURRENCE = "digest binary, anchor long, class long, tag long, low int, windows int, start int"
+_OCCURRENCE = "digest binary, anchor long, class binary, tag long, low int, windows int, start int"
 
 
 def _occurrences(docs: DataFrame, anchors: BitMap, length: int, gram: int) -> DataFrame:
@@ -183,7 +185,7 @@ def _occurrences(docs: DataFrame, anchors: BitMap, length: int, gram: int) -> Da
         return [
             batch.column("digest").take(pa.array(owner)),
             pa.array(ranges.anchor[chosen].view(np.int64)),
-            pa.array(ranges.classes(chosen)),
+            ranges.classes(chosen),
             pa.array(tag),
             pa.array(low.astype(np.int32)),
             pa.array(ranges.windows[chosen].astype(np.int32)),
@@ -204,13 +206,13 @@ def _class_bytes(docs: DataFrame, wanted: BitMap, length: int, gram: int) -> Dat
         chosen = np.flatnonzero(wanted.has(ranges.anchor ^ tag))
         return [
             pa.array(ranges.anchor[chosen].view(np.int64)),
-            pa.array(ranges.classes(chosen)),
+            ranges.classes(chosen),
             pa.array(ranges.offset[chosen].astype(np.int32)),
             pa.array([ranges.bytes_of(i) for i in chosen], pa.binary()),
         ]
 
     return _scan(
-        docs.select("row", "text"), rows_of, "anchor long, class long, start int, bytes binary", length, gram
+        docs.select("row", "text"), rows_of, "anchor long, class binary, start int, bytes binary", length, gram
     )
 
 
@@ -279,14 +281,14 @@ def _sorted_classes(classes: DataFrame, length: int) -> DataFrame:
             rows = rows.drop_duplicates(["anchor", "class"], ignore_index=True)
             found = _sort_block(rows, length)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found["anchor"]), pa.array(found["class"]), pa.array(found["mask"], pa.binary())],
+                [pa.array(found["anchor"]), pa.array(found["class"], pa.binary()), pa.array(found["mask"], pa.binary())],
                 names=["anchor", "class", "mask"],
             )
 
     return (
         classes.repartition("anchor")
         .sortWithinPartitions("anchor")
-        .mapInArrow(sort, "anchor long, class long, mask binary")
+        .mapInArrow(sort, "anchor long, class binary, mask binary")
     )
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.llm.common import crc32_of_id, small_batches, utf8
+from tallyspark.llm.common import crc32_of_id, small_batches, smallest_by_hash, utf8
 from tallyspark.llm.decontamination import words_of
 from tallyspark.session import materialize
 
@@ -153,13 +153,14 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> tuple[DataFra
         .agg(F.max("toxic").alias("toxic"))
         .where(usable_id("_id"))
     )
-    by_hash = known.orderBy(F.xxhash64("_id"), "_id")
+    counted = lambda rows: {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
+    whole = counted(known)
     chosen = (
-        by_hash.where("toxic = 1").limit(MAX_POSITIVE)
-        .unionByName(by_hash.limit(MAX_LABELLED)).distinct()
+        smallest_by_hash(known.where("toxic = 1"), "_id", MAX_POSITIVE, whole.get(1, 0))
+        .unionByName(smallest_by_hash(known, "_id", MAX_LABELLED, sum(whole.values()))).distinct()
     )
     # Positives are taken beyond the labelled sample.
-    whole, taken = [{r[0]: r[1] for r in x.groupBy("toxic").count().collect()} for x in (known, chosen)]
+    taken = counted(chosen)
     stands_for = {toxic: whole[toxic] / n for toxic, n in taken.items()}
     share = min(1.0, MAX_UNLABELLED / max(1, docs.count()))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))

@@ -266,3 +266,17 @@ def test_mixing_edge_cases(spark, docs, labels):
     assert mixing.mixing_rates(empty_docs(spark), few, {"good": 1.0, "poor": 1.0}).count() == 0
     doubled = mixing.mixed_documents(edge_docs(spark), few, {"good": 0.5, "poor": 0.5}, max_rate=3.0, tokens=1e6)
     assert doubled.count() > len(rows())
+
+
+def test_every_label_is_a_language(spark):
+    """More labels than are counted in one pass: each is found again."""
+    rng = np.random.default_rng(8)
+    words = {f"l{i:03d}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(6)] for i in range(150)}
+    texts = [(k, " ".join(rng.choice(w, 40))) for k, w in words.items() for _ in range(2)]
+    labelled = spark.createDataFrame(texts, "lang string, text string")
+    model = language_id.fit_text(labelled)
+    assert model.languages == sorted(words)
+    docs = labelled.selectExpr("monotonically_increasing_id() as doc_id", "text", "lang", "cast(null as string) as source")
+    got = language_id.identify(language_id.document_rows(docs), model)
+    found = {r.id: r.text_language for r in got.collect()}
+    assert found == {r.doc_id: r.lang for r in docs.collect()}
