@@ -7,13 +7,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators import ledger, stable_ids
+from tallyspark.operators import compare_tables, ledger, stable_ids
 from tallyspark.operators.adstock import daily_channel_spend
 from tallyspark.operators.currency import spend_normalised as normalised
-from tallyspark.plans import marts, refresh
+from tallyspark.plans import exports, marts, refresh
 from tallyspark.plans.models import MeasurementModels
 from tallyspark.queries import inputs
-from tallyspark.queries.registry import query
+from tallyspark.queries.registry import QUERIES, Query, query
 from tallyspark.session import materialize, shared_folder
 from tallyspark.sources import files
 from tallyspark.sources.versions import VersionedTable
@@ -271,3 +271,56 @@ def credit_ledger(spark, sf):
 )
 def credit_ledger_totals(spark, sf):
     return ledger.ledger_totals(materialize(_ledger(spark, sf), "ledger"))
+
+
+# ------------------------------------------------------------ drift, document
+
+
+@query(
+    "dq_drift_keys",
+    """
+    with good as (select date, channel, region, spend, clicks from e_spend),
+    bad as (
+        select date, channel, region, spend + if(dayofmonth(date) = 3 and region = 'ASIA', 0.5, 0) as spend, clicks
+        from good where not (dayofmonth(date) = 5 and channel = 'view')
+        union all select * from good where dayofmonth(date) = 9 and region = 'EUROPE')
+    select date, channel, region, sum(greatest(n, 0))::bigint as left_only, sum(greatest(-n, 0))::bigint as right_only
+    from (select date, channel, region, spend, clicks, sum(s) as n
+          from (select *, 1 as s from good union all select *, -1 from bad) group by all having sum(s) <> 0)
+    group by all
+    """,
+)
+def dq_drift_keys(spark, sf):
+    """Raw spend against a copy with changed, missing and repeated rows."""
+    columns = ["date", "channel", "region", "spend", "clicks"]
+    good = inputs.EventTables(spark, sf).marketing_spend.select(*columns)
+    raised = F.expr("dayofmonth(date) = 3 and region = 'ASIA'")
+    bad = good.where("not (dayofmonth(date) = 5 and channel = 'view')").withColumn(
+        "spend", F.col("spend") + F.when(raised, 0.5).otherwise(0.0)
+    )
+    bad = bad.unionByName(good.where("dayofmonth(date) = 9 and region = 'EUROPE'"))
+    return compare_tables.differing_keys(good, bad, columns[:3])
+
+
+def export_payload_document(spark, sf):
+    """The whole payload as one document in parts; its largest section read back."""
+    w = inputs.event_world(spark, sf)
+    w.store(shared_folder(spark, "marts"), "stg_developer_plg_events", "fct_marketing_triangulation_daily")
+    daily = w.export_triangulation_daily
+    everything = lambda df: (df, [F.col(c) for c in df.columns])
+    sections = {
+        "kpi_summary": everything(w.kpi_summary),
+        "channel_totals": everything(w.channel_totals),
+        "retention_cohorts": everything(w.export_cohorts),
+        "triangulation_daily": everything(daily),
+        "github": everything(exports.latest_snapshot(w.raw.github_telemetry)),
+        "hackernews_top5": everything(exports.top_stories(w.raw.hackernews_buzz)),
+        "fx_rates": everything(exports.fx_extract(inputs.OrderTables(spark, sf).fx_rates)),
+    }
+    folder = shared_folder(spark, "document")
+    files.write_json_document(spark, sections, folder, {"live_telemetry": True})
+    return files.read_document_section(spark, folder, list(sections).index("triangulation_daily") + 1, daily.schema)
+
+
+# The same rows as the sections written on their own.
+QUERIES["export_payload_document"] = Query(export_payload_document, QUERIES["export_payload_json"].sql)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
+from tallyspark.operators.ranking import distributed_row_number
+from tallyspark.session import file_system
+
 _CSV = {
     "header": "true",
     "quote": '"',
@@ -213,3 +217,55 @@ def write_json_sections(sections: Mapping[str, DataFrame], folder: str) -> None:
 
 def read_json_section(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(f"{folder}/{name}", mode="FAILFAST")
+
+
+def write_json_document(
+    spark: SparkSession,
+    sections: Mapping[str, tuple[DataFrame, Sequence[Column]]],
+    folder: str,
+    head: Mapping[str, object] | None = None,
+) -> None:
+    """One JSON document as text parts: joined in the order of their paths, they are it.
+
+    ``sections`` gives each section's rows and their total order; ``head`` has plain
+    members that come first.  Rows are written by the tasks, each a line that begins with a
+    comma unless it is the section's first, in files that follow the order; the
+    brackets between sections are files of their own.  Nothing passes through one task.
+    """
+    fs, path = file_system(spark, folder), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def put(name: str, text: str) -> None:
+        out = fs.create(path(f"{folder}/{name}"))
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    members = "".join(f"{json.dumps(k)}: {json.dumps(v)},\n" for k, v in (head or {}).items())
+    put("000/open", "{\n" + (members if sections else members.rstrip(",\n") + "\n"))
+    for i, (name, (df, order)) in enumerate(sections.items(), 1):
+        put(f"{i:03d}/open", f"{json.dumps(name)}: [\n")
+        numbered = distributed_row_number(df, order, "_n")
+        row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        lines = numbered.repartitionByRange("_n").sortWithinPartitions("_n")
+        lines.select(F.when(F.col("_n") == 1, row).otherwise(F.concat(F.lit(","), row)).alias("value")).write.text(
+            f"{folder}/{i:03d}/rows"
+        )
+        put(f"{i:03d}/shut", "]\n" if i == len(sections) else "],\n")
+    put("999/shut", "}\n")
+
+
+def document_parts(spark: SparkSession, folder: str) -> list[str]:
+    """The paths of a document's text parts, in order: names only, nothing is read."""
+    fs, path = file_system(spark, folder), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found, at = [], fs.listFiles(path(folder), True)
+    while at.hasNext():
+        name = at.next().getPath().toString()
+        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            found.append(name)
+    return sorted(found)
+
+
+def read_document_section(spark: SparkSession, folder: str, number: int, schema) -> DataFrame:
+    """The rows of a document's section (the first is 1), read in parallel."""
+    lines = spark.read.text(f"{folder}/{number:03d}/rows")
+    row = F.from_json(F.regexp_replace("value", "^,", ""), schema, {"mode": "FAILFAST"})
+    return lines.select(row.alias("row")).select("row.*")

@@ -1,13 +1,14 @@
 """Published versions, refresh after changes, as-of rates, stable ids, ledger, checked input."""
 
 import datetime as dt
+import json
 import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import asof, ledger, stable_ids
+from tallyspark.operators import asof, compare_tables, ledger, stable_ids
 from tallyspark.operators.currency import spend_normalised
 from tallyspark.plans import refresh
 from tallyspark.plans.models import MeasurementModels, RawTables
@@ -296,3 +297,32 @@ def test_dialects(spark, tmp_path, text, delimiter, quote, header, columns):
     assert found == {"delimiter": delimiter, "quote": quote, "header": header, "columns": columns}
     df = files.scan_sniffed_csv(spark, path)
     assert len(df.columns) == columns and df.count() == len(text.splitlines()) - header
+
+
+# ------------------------------------------------------------ drift, document
+
+
+def test_differing_keys(spark, rows):
+    left = [(i, None if i % 50 == 0 else i % 7, "v") for i in range(500)] + [(3, 3, "v")]
+    right = [r for r in left if r[0] != 11] + [(1000, 1, "new"), (1000, 1, "new")]
+    right = [(k, v, "changed" if k == 77 else t) for k, v, t in right]
+    make = lambda rows_: spark.createDataFrame(rows_, "k long, v long, t string")
+    got = compare_tables.differing_keys(make(left), make(right), ["k"])
+    assert rows(got) == [(1000, 0, 2), (11, 1, 0), (77, 1, 1)]
+    assert compare_tables.differing_keys(make(left), make(left[::-1]), ["k"], levels=3, bits=4).count() == 0
+    assert compare_tables.differing_keys(make([]), make([]), ["k"]).count() == 0
+    with pytest.raises(ValueError, match="different columns"):
+        compare_tables.differing_keys(make(left), make(left).drop("t"), ["k"])
+
+
+def test_document_parts_are_one_document(spark, tmp_path, rows):
+    df = spark.range(2000).select(F.col("id"), F.concat(F.lit('say "'), "id", F.lit('"\n')).alias("text"), F.lit(None).cast("int").alias("none"))
+    sections = {"many": (df, [F.col("id").desc()]), "none": (df.limit(0), [F.col("id")]), "one": (df.where("id = 7"), [F.col("id")])}
+    folder = str(tmp_path / "doc")
+    files.write_json_document(spark, sections, folder, {"generated_at": "2026-01-01", "live": True})
+    parts = files.document_parts(spark, folder)
+    whole = json.loads("".join(open(p.removeprefix("file:")).read() for p in parts))
+    assert list(whole) == ["generated_at", "live", "many", "none", "one"] and whole["none"] == []
+    assert [r["id"] for r in whole["many"]] == list(range(1999, -1, -1))
+    assert whole["one"] == [{"id": 7, "text": 'say "7"\n', "none": None}]
+    assert rows(files.read_document_section(spark, folder, 1, df.schema)) == rows(df)
