@@ -116,6 +116,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def tables_present(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """One row per required table or view: does it exist, and how many rows has it?"""
+    rows = []
+    for name in names:
+        if table_exists(spark, name):
+            counted_rows = spark.table(name).agg(F.count("*").alias("n_rows"))
+            rows.append(counted_rows.select(F.lit(name).alias("source"), F.lit(True).alias("present"), "n_rows"))
+        else:
+            rows.append(spark.createDataFrame([(name, False, 0)], "source string, present boolean, n_rows long"))
+    return reduce(DataFrame.unionByName, rows).withColumn("passed", F.col("present") & (F.col("n_rows") > 0))
+
+
 def files_present(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
     """One row per required file name: is it in the folder?  Only lists, reads nothing."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(folder)

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.operators import compare_tables, ledger, stable_ids
+from tallyspark.operators import compare_tables, ledger, quality, stable_ids
 from tallyspark.operators.adstock import daily_channel_spend
 from tallyspark.operators.currency import spend_normalised as normalised
 from tallyspark.plans import exports, marts, refresh
@@ -322,5 +322,20 @@ def export_payload_document(spark, sf):
     return files.read_document_section(spark, folder, list(sections).index("triangulation_daily") + 1, daily.schema)
 
 
+@query(
+    "dq_tables_present",
+    """
+    select 'stg_touchpoints' as source, true as present, count(*) as n_rows, count(*) > 0 as passed from e_stg_touch
+    union all select 'int_developer_lifecycle_states', true, count(*), count(*) > 0 from e_life
+    union all select 'no_such_model', false, 0, false
+    """,
+)
+def dq_tables_present(spark, sf):
+    """Views of the models by name; one that is asked for does not exist."""
+    names = ["stg_touchpoints", "int_developer_lifecycle_states"]
+    inputs.event_world(spark, sf).register_views(*names)
+    return quality.tables_present(spark, [*names, "no_such_model"])
+
+
 # The same rows as the sections written on their own.
 QUERIES["export_payload_document"] = Query(export_payload_document, QUERIES["export_payload_json"].sql)

@@ -80,3 +80,10 @@ def test_stored_models_are_read_back_and_checked(spark, rows, tmp_path):
     assert str(tmp_path) in w.fct_channel_efficiency_daily.inputFiles()[0]
     w.register_views("stg_touchpoints")
     assert spark.sql("select count(*) from stg_touchpoints").first()[0] == 1500
+
+
+def test_tables_present(spark, rows):
+    spark.range(3).createOrReplaceTempView("three_rows")
+    spark.range(0).createOrReplaceTempView("no_rows")
+    got = Q.tables_present(spark, ["three_rows", "no_rows", "no_such_table"])
+    assert rows(got) == [("no_rows", True, 0, False), ("no_such_table", False, 0, False), ("three_rows", True, 3, True)]
