@@ -141,8 +141,8 @@ def _with_features(urls: DataFrame, url_column: str, suffixes: DataFrame, rate:
     named = urls.withColumns(
         {f"_m_{k}": v for k, v in features.items()} | {"_m_suffix": suffix_of(F.col(url_column))}
     )
-    # One row per suffix among the bounded training URLs.
-    joined = named.join(F.broadcast(suffixes), "_m_suffix", "left").withColumn(
+    # One row per suffix: Spark broadcasts them if they are few, else may split a hot suffix.
+    joined = named.join(suffixes, "_m_suffix", "left").withColumn(
         "_m_suffix_rate", F.coalesce("_m_suffix_rate", F.lit(rate))
     )
     columns = [*(f"_m_{k}" for k in features), "_m_suffix_rate"]
@@ -152,7 +152,8 @@ def _with_features(urls: DataFrame, url_column: str, suffixes: DataFrame, rate:
 def fit(labelled: DataFrame, url_column: str = "url", label_column: str = "label") -> UrlModel:
     """Train on URLs with label 1 (block) or 0 (allow); other rows are ignored.
 
-    At most about ``MAX_TRAINING`` rows are used, chosen by a hash of the URL.
+    The trees see at most about ``MAX_TRAINING`` rows, chosen by a hash of the URL; the rates
+    of suffixes come from all rows.
     """
     usable = labelled.select(
         F.col(url_column).alias("url"), F.col(label_column).cast("double").alias("label")
@@ -163,9 +164,10 @@ def fit(labelled: DataFrame, url_column: str = "url", label_column: str = "label
     n, blocked = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not n or blocked in (0.0, float(n)):
         return UrlModel(None, None, 0.0, constant=1.0 if n and blocked else 0.0)
-    rate = blocked / n
+    rate = usable.agg(F.avg("label")).first()[0]
+    # Counted over all labelled URLs, map-side first; only the trees see a sample.
     suffixes = materialize(
-        sample.groupBy(suffix_of(F.col("url")).alias("_m_suffix")).agg(
+        usable.groupBy(suffix_of(F.col("url")).alias("_m_suffix")).agg(
             ((F.sum("label") + SUFFIX_WEIGHT * rate) / (F.count("*") + SUFFIX_WEIGHT)).alias("_m_suffix_rate")
         ),
         "suffixes",
@@ -197,7 +199,8 @@ def verdicts(
     """Per row: the id, host, path, rule, verdict (allow or block) and block_probability.
 
     Null, empty and odd URLs get empty host and path, no rule, and the model's
-    verdict on the empty features.  Repeated rows are all judged.
+    verdict on the empty features.  Repeated rows are all judged, URLs of any length are
+    judged whole, further columns are not read, and an empty table gives no rows.
     """
     slim = urls.select(F.col(id_column).alias("row_id"), F.col(url_column).alias("url"))
     scored = model.block_probability(slim, "url", "block_probability")

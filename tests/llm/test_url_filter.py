@@ -79,3 +79,24 @@ def test_whole_table_without_python(spark):
         want = rule(host, path)
         assert (r.host, r.path, r.rule) == (host, path, want.name if want else None)
         assert r.verdict == (want.verdict if want else ("block" if r.block_probability >= 0.5 else "allow"))
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string, prediction double")
+    model = uf.fit(spark.createDataFrame([], "url string, label int"))
+    assert model.trees is None and uf.verdicts(none, RULES, model).count() == 0
+    labelled = spark.createDataFrame([("http://a.net/", 1), ("http://b.org/", 0)] * 20, "url string, label int")
+    assert uf.verdicts(none, RULES, uf.fit(labelled)).count() == 0
+
+
+def test_suffix_rates_come_from_all_rows(spark, monkeypatch):
+    """Also those of suffixes that no sampled URL has."""
+    monkeypatch.setattr(uf, "MAX_TRAINING", 40)
+    rows_ = [(f"http://h{i}.{'bad' if i % 3 == 0 else 'good' if i % 3 == 1 else f's{i}'}/", int(i % 3 == 0)) for i in range(900)]
+    model = uf.fit(spark.createDataFrame(rows_, "url string, label int"))
+    got = {r[0]: r[1] for r in model.suffixes.collect()}
+    rate = 300 / 900
+    for suffix in {u.rsplit(".", 1)[1][:-1] for u, _ in rows_}:
+        of = [label for u, label in rows_ if u.endswith(f".{suffix}/")]
+        assert abs(got[suffix] - (sum(of) + uf.SUFFIX_WEIGHT * rate) / (len(of) + uf.SUFFIX_WEIGHT)) < 1e-9
+    assert len(got) == 302
