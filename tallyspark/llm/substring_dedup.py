@@ -354,7 +354,9 @@ def matches(
     # A document without id comes after all others.
     ids = F.coalesce("doc_id", F.lit(_LAST))
     anchors = found.groupBy("anchor").agg(F.min(ids).alias("first_id"), F.max(ids).alias("last_id"))
-    shared = anchors.where("first_id < last_id").select("anchor")
+    # Written first: a join with a table of its own may split a very frequent anchor, one with
+    # an aggregation of the same rows may not.
+    shared = materialize(anchors.where("first_id < last_id").select("anchor"), "shared-anchors")
     kept = materialize(found.join(shared, "anchor").withColumn("doc_id", ids), "shared-seeds")
     # A shorter context holds no window.
     kept = kept.where(F.col("before") + F.col("after") >= reach)
