@@ -378,7 +378,10 @@ def matches(
         longest = longest.unionByName(
             materialize(_grouped(_contexts(docs, wanted.where(many), seed), window, seed), "extensions")
         )
-    verdict = classes.select("anchor", "class", "smallest").join(longest, ["anchor", "class"], "left")
+    # Written for the same reason: one class may hold a third of all seeds.
+    verdict = materialize(
+        classes.select("anchor", "class", "smallest").join(longest, ["anchor", "class"], "left"), "class-matches"
+    )
     whole = F.col("doc_id") > F.col("smallest")
     left = F.when(whole, F.col("before")).otherwise(F.col("left"))
     right = F.when(whole, F.col("after")).otherwise(F.col("right"))
