@@ -12,10 +12,13 @@ element has different sequences of children, and its text blocks are its content
   presentation importance plus g times the mean of the children's, weighted by their
   share in the sequences.
 
-Branches below the threshold are removed from each page, and so are those whose tag,
-role or class names them as furniture (menus, footers, adverts, comments, forms):
-markup says outright what entropy would have to guess on a host with few pages.
-Inside ``article`` or ``main`` only what almost every page repeats is low enough.
+Importance is shrunk towards 1 by a prior of ``PRIOR_PAGES`` pages, so that few pages say
+little and there is no number of pages at which the rule changes.  Branches below the
+threshold are removed from each page, and so are those whose tag, role or class names
+them as furniture (menus, footers, adverts, comments, forms): markup says outright what
+entropy would have to guess on a host with few pages.  Inside ``article`` or ``main`` only
+what almost every page repeats is low enough.  Sums are decimal, so a task that runs
+again cannot move a branch across a threshold.
 
 All numbers come from grouped sums over (host, path, block), combined map-side, so a
 host with a third of all pages is spread.  Pages are read twice and never shuffled:
@@ -32,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions.scalar import exact_sum
 from tallyspark.llm.common import small_batches
 from tallyspark.llm.html_tree import parse
 from tallyspark.llm.url_filter import host_and_path
@@ -39,11 +43,12 @@ from tallyspark.session import materialize
 
 DAMPING = 0.9
 THRESHOLD = 0.3
-MIN_PAGES = 4
 ARTICLE_THRESHOLD = 0.05
-ARTICLE_MIN_PAGES = 30
+# Every branch starts with so many pages on which it matters wholly.
+PRIOR_PAGES = 1.6
 BROADCAST_PATHS = 500_000
 
+_EXACT = "decimal(28,12)"
 _COUNTED = "array<struct<value:bigint,n:int>>"
 _NODES = (
     "host string, page bigint, path bigint, above array<bigint>, protected boolean, beside boolean, share double, "
@@ -108,10 +113,12 @@ def _importance(rows: DataFrame) -> DataFrame:
     """(host, path, pages, protected, beside, importance): composite, for every node of the trees."""
     key = ["host", "path"]
     nodes = rows.groupBy(*key, "above").agg(
-        F.count("*").alias("pages"), F.avg("share").alias("share"), F.max("protected").alias("protected"),
+        F.count("*").alias("pages"),
+        (exact_sum("share", _EXACT) / F.count("*")).alias("share"),
+        F.max("protected").alias("protected"),
         F.min("beside").alias("beside"),
     )
-    n_log_n = F.sum(F.col("n") * F.log("n"))
+    n_log_n = exact_sum(F.col("n") * F.log("n"), _EXACT)
     styles = (
         rows.select(*key, F.inline("styles"))
         .groupBy(*key, "value")
@@ -124,7 +131,7 @@ def _importance(rows: DataFrame) -> DataFrame:
         .groupBy(*key, "value")
         .agg(F.sum("n").alias("total"), n_log_n.alias("weighted"))
         .groupBy(*key)
-        .agg(F.avg(_entropy(F.col("total"), F.col("weighted"))).alias("text_entropy"))
+        .agg((exact_sum(_entropy(F.col("total"), F.col("weighted")), _EXACT) / F.count("*")).alias("text_entropy"))
     )
     base = F.log(F.greatest(F.col("pages"), F.lit(2)))
     alone = F.col("pages") == 1
@@ -162,7 +169,7 @@ def _composite(nodes: DataFrame) -> DataFrame:
     elements = (
         nodes.where(F.size("above") > 0)
         .groupBy("host", F.element_at("above", -1).alias("path"))
-        .agg(F.sum("share").alias("elements"))
+        .agg(exact_sum("share", _EXACT).alias("elements"))
     )
     valued = nodes.join(elements, key, "left").withColumn(
         "value",
@@ -183,7 +190,7 @@ def _composite(nodes: DataFrame) -> DataFrame:
         .withColumn("weights", weights(F.col("chain.g"), F.col("chain.s"), F.col("share")))
         .select("host", "value", F.explode(F.arrays_zip(F.col("chain.upper").alias("upper"), "weights")).alias("z"))
         .groupBy("host", F.col("z.upper").alias("path"))
-        .agg(F.sum(F.col("value") * F.col("z.weights")).alias("below"))
+        .agg(exact_sum(F.col("value") * F.col("z.weights"), _EXACT).alias("below"))
     )
     return valued.join(shared, key, "left").select(
         *key, "above", "pages", "protected", "beside",
@@ -209,9 +216,14 @@ def _known(pages: DataFrame, url_column: str, html_column: str) -> DataFrame:
 
 
 def noisy_paths(tree: DataFrame) -> DataFrame:
-    """(host, path) of the branches to remove."""
-    low = (F.col("importance") < THRESHOLD) & (F.col("pages") >= MIN_PAGES) & ~F.col("protected")
-    lowest = (F.col("importance") < ARTICLE_THRESHOLD) & (F.col("pages") >= ARTICLE_MIN_PAGES)
+    """(host, path) of the branches to remove: those whose importance, shrunk towards 1, is low.
+
+    The fewer pages a branch was seen on, the more its prior counts: one that never varies
+    goes from 4 pages on, inside an article from 31 on, one that varies a little needs more.
+    """
+    shrunk = (F.col("importance") * F.col("pages") + PRIOR_PAGES) / (F.col("pages") + PRIOR_PAGES)
+    low = (shrunk < THRESHOLD) & ~F.col("protected")
+    lowest = shrunk < ARTICLE_THRESHOLD
     return tree.where((low | lowest) & (F.size("above") > 0)).select("host", "path")
 
 

@@ -12,7 +12,7 @@ import xxhash
 # Elements deeper than this count as part of the one at this depth.
 MAX_DEPTH = 64
 
-# ---- Fixed values: HTML element groups and the words that name a page's furniture.
+# Element groups as HTML defines them, at most MAX_DEPTH of them inside one another.
 SKIPPED = {
     "button", "canvas", "iframe", "noscript", "object", "script", "select", "style", "svg",
     "template", "textarea", "title",
@@ -35,6 +35,7 @@ ENDED_BY = {
     "head": {"body"},
 }
 CONTAINERS = {"article", "body", "div", "dl", "menu", "ol", "section", "table", "ul"}
+# A choice of this module: the markup and the names that are taken as evidence of furniture.
 ARTICLE_TAGS = {"article", "main"}
 FURNITURE_TAGS = {"aside", "dialog", "footer", "form", "head", "menu", "nav"}
 FURNITURE_ROLES = {
@@ -55,7 +56,6 @@ ADVERT_WORDS = {
     "promoted", "sponsor", "sponsored",
 }
 HEADER_WORDS = {"container", "global", "header", "main", "page", "site", "top", "wrap", "wrapper"}
-# ---- End of fixed values.
 
 _TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|!--|[!?])")
 _REST = re.compile(r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""")

@@ -1,3 +1,7 @@
+import re
+from collections import Counter, defaultdict
+from math import log
+
 import pytest
 
 from tallyspark.llm.html_extraction import extract_text, noisy_paths, site_style_tree
@@ -109,6 +113,87 @@ def test_hand_worked_importance(spark):
     assert sorted(round(r.importance, 6) for r in tree) == [0.729, 0.81, 0.9]
 
 
+def plain_tree(pages):
+    """Importance by the recursion itself: {(host, path): importance}."""
+    hosts = defaultdict(list)
+    for url, html in pages:
+        host = re.split(r"[/?#]", (url or "").partition("://")[2])[0].lower()
+        if host and html is not None:
+            hosts[host].append(parse(html).nodes)
+    out = {}
+
+    def entropy(counts):
+        total = sum(counts)
+        return -sum(n / total * log(n / total) for n in counts)
+
+    for host, trees in hosts.items():
+        seen = defaultdict(list)
+        for tree in trees:
+            for path, node in tree.items():
+                seen[path].append((node, tree[node.above[-1]].times if node.above else 1))
+        children = defaultdict(list)
+        for path, rows in seen.items():
+            if rows[0][0].above:
+                children[rows[0][0].above[-1]].append(path)
+
+        def share(path, seen=seen):
+            return sum(node.share / times for node, times in seen[path]) / len(seen[path])
+
+        def importance(path, seen=seen, children=children, share=share, host=host):
+            nodes = [node for node, _ in seen[path]]
+            base, alone = log(max(len(nodes), 2)), len(nodes) == 1
+            styles = sum((node.styles for node in nodes), Counter())
+            style = 1.0 if alone else min(1.0, entropy(styles.values()) / base)
+            blocks = defaultdict(list)
+            for node in nodes:
+                for block, n in node.texts.items():
+                    blocks[block].append(n)
+            text = 1.0 if alone else 0.0
+            if blocks:
+                mean = sum(map(entropy, blocks.values())) / len(blocks)
+                text = text if alone else 1.0 - min(1.0, mean / base)
+            rest = max(0.0, 1.0 - sum(map(share, children[path])))
+            below = sum(share(c) * importance(c) for c in children[path]) + rest * text
+            g = 0.9 ** len(styles)
+            out[host, path] = (1 - g) * style + g * below
+            return out[host, path]
+
+        for path, rows in list(seen.items()):
+            if not rows[0][0].above:
+                importance(path)
+    return out
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_tree_equals_the_recursion(spark, given):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet") if given else site(spark)
+    want = plain_tree([(r.url, r.html) for r in pages.collect()])
+    got = {(r.host, r.path): r.importance for r in site_style_tree(pages).collect()}
+    assert got.keys() == want.keys() and len(got) > 10
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-6
+
+
+def test_few_pages_say_little(spark):
+    counts, values = [1, 2, 3, 4, 5, 8, 16, 30, 31, 1000], [0.0, 0.01, 0.1, 0.2, 0.29, 0.31, 1.0]
+    rows = [
+        (f"{n} {v} {inside}", n, [0], n, inside, False, v) for n in counts for v in values for inside in (True, False)
+    ]
+    tree = spark.createDataFrame(
+        rows, "host string, path long, above array<long>, pages long, protected boolean, beside boolean, importance double"
+    )
+    gone = {r.host for r in noisy_paths(tree).collect()}
+    first = {
+        (v, inside): next((n for n in counts if f"{n} {v} {inside}" in gone), None)
+        for v in values
+        for inside in (True, False)
+    }
+    assert first[0.0, False] == 4 and first[0.0, True] == 31 and first[0.2, False] == 16
+    assert first[0.31, False] is None and first[0.1, True] is None and first[1.0, False] is None
+    # What goes on some pages goes on more.
+    for (v, inside), n in first.items():
+        assert n is None or all(f"{m} {v} {inside}" in gone for m in counts if m >= n)
+
+
 def test_articles_are_kept_where_pages_are_alike(spark):
     rows = [(i, "http://h.org/", "<article><p>same</p></article><div>foot</div>", None, None, None) for i in range(20)]
     texts = {r.text for r in extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
@@ -128,7 +213,6 @@ def test_empty_table(spark):
 
 def test_whole_table_equals_the_articles(spark):
     import html
-    import re
 
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for r in extract_text(pages).collect():
