@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.params import HotKeyPolicy
 
-_HOT = "_hot"
 _SALT = "_salt"
-_FOUND = "_found"
 
 
 def hot_keys(df: DataFrame, key: str, policy: HotKeyPolicy) -> DataFrame:
@@ -25,12 +23,6 @@ def hot_keys(df: DataFrame, key: str, policy: HotKeyPolicy) -> DataFrame:
     return heavy.orderBy(F.desc("_n"), key).limit(policy.max_keys).select(key)
 
 
-def flag_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Add a boolean ``_hot``.  ``hot`` comes from :func:`hot_keys`, hence bounded."""
-    marked = df.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
-    return marked.withColumn(_HOT, F.col(_HOT).isNotNull())
-
-
 def _piece_of_row(df: DataFrame, pieces: int) -> Column:
     """A piece number that depends on the row and its input partition only.
 
@@ -40,14 +32,6 @@ def _piece_of_row(df: DataFrame, pieces: int) -> Column:
     return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(pieces)).cast("int")
 
 
-def _repeated(df: DataFrame, pieces: Column) -> DataFrame:
-    return df.withColumn(_SALT, F.explode(pieces))
-
-
-def _all_pieces(pieces: int) -> Column:
-    return F.sequence(F.lit(0), F.lit(pieces - 1))
-
-
 def spread_join(left: DataFrame, right: DataFrame, key: str, pieces: int) -> DataFrame:
     """Inner join of few left rows with very many right rows per key.
 
@@ -55,25 +39,5 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, pieces: int) -> Dat
     are repeated once per group: one shuffle per side, balanced for any key.
     """
     dealt = right.withColumn(_SALT, _piece_of_row(right, pieces))
-    return _repeated(left, _all_pieces(pieces)).join(dealt, [key, _SALT]).drop(_SALT)
-
-
-def skew_safe_left_join(
-    left: DataFrame, right: DataFrame, key: str, policy: HotKeyPolicy
-) -> DataFrame:
-    """``left`` with its ``right`` rows, where single keys may be very frequent on the right.
-
-    Hot keys are joined in pieces as in :func:`spread_join`, all others as usual,
-    in the same join.  No row of either side is dropped.
-    """
-    hot = hot_keys(right, key, policy)
-    pieces = F.when(F.col(_HOT), _all_pieces(policy.pieces)).otherwise(F.array(F.lit(0)))
-    piece = F.when(F.col(_HOT), _piece_of_row(right, policy.pieces)).otherwise(0)
-    dealt = flag_hot(right, hot, key).withColumn(_SALT, piece).drop(_HOT)
-    joined = _repeated(flag_hot(left, hot, key), pieces).join(
-        dealt.withColumn(_FOUND, F.lit(True)), [key, _SALT], "left"
-    )
-    # A hot key has rows on the right by definition, so an unmatched copy of a
-    # hot left row only means that its piece was empty.
-    complete = joined.where(F.col(_FOUND).isNotNull() | ~F.col(_HOT))
-    return complete.drop(_HOT, _SALT, _FOUND)
+    repeated = left.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    return repeated.join(dealt, [key, _SALT]).drop(_SALT)
