@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 SHARED_MOUNT_KEY = "spark.tallyspark.sharedMount"
+WAREHOUSE_KEY = "spark.sql.warehouse.dir"
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,22 +36,61 @@ def build_session(app_name: str = "tallyspark", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder named in ``spark.checkpoint.dir``.
+    """A new, unused path below the shared folder of the session.
 
-    Only a local-mode session may go without that setting: there the driver and
+    That is ``spark.checkpoint.dir``, or else the folder given to
+    ``setCheckpointDir``, or else the warehouse.  A folder of a local file system
+    may be mounted by all machines or by one only, which its name does not tell:
+    on a cluster the tasks write there once, and the driver looks what it finds.
+
+    Only a local-mode session may go without these settings: there the driver and
     all tasks share one machine, so a temporary folder is visible to every task.
     """
-    base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-        base = _own_folder(spark.sparkContext.applicationId)
-    elif _on_one_machine(spark, base) and not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    base = (
+        spark.conf.get(CHECKPOINT_KEY, None)
+        or context.getConf().get(CHECKPOINT_KEY)
+        or context.getCheckpointDir()
+    )
+    if _in_local_mode(context.master):
+        base = base or _own_folder(context.applicationId)
+    else:
+        base = base or spark.conf.get(WAREHOUSE_KEY)
+        if _on_one_machine(spark, base):
+            _check_reach(spark, base)
+    return _below(base, context.applicationId, label)
+
+
+def _below(base: str, application: str, label: str) -> str:
+    return f"{base.rstrip('/')}/tallyspark/{application}/{label}-{uuid.uuid4().hex}"
+
+
+def _in_local_mode(master: str) -> bool:
+    """Are driver and tasks one process?  ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
+_reached: set[tuple[str, str]] = set()
+
+
+def _check_reach(spark: SparkSession, base: str) -> None:
+    """Refuse a folder where the driver does not find what the tasks wrote; once per application."""
+    application = spark.sparkContext.applicationId
+    if (application, base) in _reached:
+        return
+    path, n = _below(base, application, "reach"), spark.sparkContext.defaultParallelism
+    failure = None
+    try:
+        spark.range(0, n, 1, n).write.parquet(path)
+        found = spark.read.schema("id long").parquet(path).count()
+    except Exception as error:
+        found, failure = 0, error
+    if found != n:
         raise RuntimeError(
-            f"{CHECKPOINT_KEY} is {base}, a local folder; if all machines mount it,"
-            f" set {SHARED_MOUNT_KEY} to true"
-        )
-    return f"{base.rstrip('/')}/tallyspark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+            f"of {n} files that tasks wrote below {base} {found} could be read again: set {CHECKPOINT_KEY}"
+            f" to a folder that every executor can reach"
+        ) from failure
+    _reached.add((application, base))
 
 
 @cache
