@@ -26,6 +26,7 @@ and all of them when the matches are cut out.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -308,33 +309,60 @@ def _compared(contexts: DataFrame, window: int, seed: int) -> DataFrame:
 
 
 def _grouped(contexts: DataFrame, window: int, seed: int) -> DataFrame:
-    """The same for anchors with too many classes: windows grouped by their words."""
+    """The same for anchors with too many classes: windows grouped by their words.
+
+    Only a class's first and last matching windows are asked for, so every ``step``-th is
+    looked up first and after that those before and behind the ones found.
+    """
     reach = window - seed
+    step = max(1, math.isqrt(reach))
 
     @F.pandas_udf("array<struct<left:int,window:binary>>")
-    def windows(words: pd.Series, before: pd.Series) -> pd.Series:
-        def one(text, at):
+    def windows(words: pd.Series, before: pd.Series, step: pd.Series, low: pd.Series, high: pd.Series) -> pd.Series:
+        def one(text, at, step, low, high):
             starts = word_starts(text)
             return [
                 {"left": at - i, "window": hashlib.md5(text[starts[i] : starts[i + window] - 1]).digest()}
                 for i in range(max(0, at - reach), min(at, len(starts) - 1 - window) + 1)
+                if (at - i) % step == 0 and not low <= at - i <= high
             ]
 
-        return pd.Series([one(t, b) for t, b in zip(words, before, strict=True)])
+        return pd.Series([one(*r) for r in zip(words, before, step, low, high, strict=True)])
+
+    def cut(rows: DataFrame, step: int, low: Column, high: Column) -> DataFrame:
+        """Every ``step``-th window of each class, but for those from ``low`` to ``high``."""
+        found = F.explode(windows("words", "before", F.lit(step), low, high)).alias("w")
+        return rows.select("anchor", "class", "smallest", found).select("anchor", "class", "smallest", "w.left", "w.window")
+
+    def ends(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("anchor", "class").agg(F.min("left").alias("low"), F.max("left").alias("high"))
 
-    every = contexts.select("anchor", "class", "smallest", F.explode(windows("words", "before")).alias("w")).select(
-        "anchor", "class", "smallest", "w.left", "w.window"
+    contexts = materialize(contexts, "contexts")
+    none = F.lit(1), F.lit(0)
+    least = (
+        cut(contexts, 1, *none)
+        .groupBy(*_WINDOW)
+        .agg(F.min("smallest").alias("least"), F.max("smallest").alias("most"))
     )
-    key = ["anchor", "left", "window"]
-    least = every.groupBy(*key).agg(F.min("smallest").alias("least"))
+    least = materialize(least.where("least < most").drop("most"), "windows")
+    some = materialize(ends(_repeated(cut(contexts, step, *none), least)), "some-windows")
+    rest = contexts.join(some, ["anchor", "class"], "left")
+    rest = cut(rest, 1, F.coalesce("low", none[0]), F.coalesce("high", none[1]))
     return (
-        every.join(least, key)
-        .where("least < smallest")
+        some.unionByName(ends(_repeated(rest, least)))
         .groupBy("anchor", "class")
-        .agg(F.max("left").alias("left"), (F.lit(reach) - F.min("left")).cast("int").alias("right"))
+        .agg(F.max("high").alias("left"), (F.lit(reach) - F.min("low")).cast("int").alias("right"))
     )
 
 
+_WINDOW = ["anchor", "left", "window"]
+
+
+def _repeated(windows: DataFrame, least: DataFrame) -> DataFrame:
+    """The windows of classes that stand in a class of a smaller id too."""
+    return windows.join(least, _WINDOW).where("least < smallest")
+
+
 # ------------------------------------------------------------ matches and removal
 
 

@@ -95,6 +95,49 @@ def test_a_passage_in_very_many_contexts(spark):
         assert got(dedup_report(df, compared=compared)) == want
 
 
+@pytest.mark.parametrize("window, seed", [(8, 3), (20, 4), (50, 16)])
+def test_grouped_windows_are_those_compared(spark, window, seed):
+    """Contexts of one seed with matches of any length on either side, short ones included."""
+    rng = random.Random(window)
+    reach = window - seed
+    middle = [f"s{i}" for i in range(seed)]
+    left, right = ([f"{side}{i}" for i in range(reach)] for side in "lr")
+    made = []
+    for i in range(120):
+        before, after = (reach if rng.random() < 0.7 else rng.randrange(reach + 1) for _ in range(2))
+        pool = rng.choice([1, 2, 40])
+        a = [w if rng.random() < 0.9 else f"{w}x{rng.randrange(pool)}" for w in left[reach - before :]]
+        b = [w if rng.random() < 0.9 else f"{w}x{rng.randrange(pool)}" for w in right[:after]]
+        made.append((7, f"c{i}".encode(), rng.randrange(60), before, " ".join(a + middle + b).encode()))
+    found = substring_dedup.extensions([r[2] for r in made], [r[3] for r in made], [r[4].split() for r in made], window, seed)
+    want = {r[1]: m for r, m in zip(made, found, strict=True) if m}
+    df = spark.createDataFrame(made, "anchor long, class binary, smallest long, before int, words binary")
+    assert {bytes(r["class"]): (r["left"], r["right"]) for r in substring_dedup._grouped(df, window, seed).collect()} == want
+    assert 0 < len(want) < len(made)
+
+
+def test_a_long_passage_in_very_many_contexts_is_not_joined_window_by_window(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(200))
+    docs = [(i, " ".join([f"a{rng.random()}", passage, f"b{rng.random()}"])) for i in range(40)]
+    joined = []
+    repeated = substring_dedup._repeated
+
+    def counted(windows, least):
+        out = repeated(windows, least)
+        joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(substring_dedup, "_repeated", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(dedup_report(df, compared=2)) == brute(docs)
+    few = sum(joined)
+    joined.clear()
+    monkeypatch.setattr(substring_dedup.math, "isqrt", lambda _: 1)
+    assert got(dedup_report(df, compared=2)) == brute(docs)
+    assert 39 <= few < sum(joined) / 2
+
+
 def test_words():
     assert plain(b"\t a  b\x0b\x0cc\r\n") == b"a b c"
     assert word_starts(b"a b c").tolist() == [0, 2, 4, 6] and word_starts(b"").tolist() == [0]
