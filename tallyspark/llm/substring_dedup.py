@@ -311,45 +311,75 @@ def _compared(contexts: DataFrame, window: int, seed: int) -> DataFrame:
 def _grouped(contexts: DataFrame, window: int, seed: int) -> DataFrame:
     """The same for anchors with too many classes: windows grouped by their words.
 
-    Only a class's first and last matching windows are asked for, so every ``step``-th is
-    looked up first and after that those before and behind the ones found.
+    Windows are first taken ``step`` side by side, as one wide window, and its core, the
+    words that all of them hold.  A core in contexts of one smallest id only settles its
+    windows, and of equal wide windows one is cut into single windows; the others match
+    over all of it or, with the same smallest id, as far as that one.
     """
     reach = window - seed
     step = max(1, math.isqrt(reach))
 
+    @F.pandas_udf("array<struct<low:int,left:int,core:binary,window:binary>>")
+    def wide(words: pd.Series, before: pd.Series) -> pd.Series:
+        def one(text, at):
+            starts = word_starts(text)
+            least, most = max(0, at + window - len(starts) + 1), min(at, reach)
+            out = []
+            for first in range(least - least % step, most + 1, step) if least <= most else ():
+                low, high = max(first, least), min(first + step - 1, most)
+                end = at + window - min(first + step - 1, reach)
+                out.append({
+                    "low": low, "left": high,
+                    # Equal digests of different cores only cost work.
+                    "core": xxhash.xxh3_64_digest(text[starts[at - first] : starts[end] - 1], first),
+                    "window": hashlib.md5(text[starts[at - high] : starts[at - low + window] - 1]).digest(),
+                })
+            return out
+
+        return pd.Series([one(*r) for r in zip(words, before, strict=True)])
+
     @F.pandas_udf("array<struct<left:int,window:binary>>")
-    def windows(words: pd.Series, before: pd.Series, step: pd.Series, low: pd.Series, high: pd.Series) -> pd.Series:
-        def one(text, at, step, low, high):
+    def single(words: pd.Series, before: pd.Series, low: pd.Series, high: pd.Series) -> pd.Series:
+        def one(text, at, low, high):
             starts = word_starts(text)
             return [
-                {"left": at - i, "window": hashlib.md5(text[starts[i] : starts[i + window] - 1]).digest()}
-                for i in range(max(0, at - reach), min(at, len(starts) - 1 - window) + 1)
-                if (at - i) % step == 0 and not low <= at - i <= high
+                {"left": left, "window": hashlib.md5(text[starts[at - left] : starts[at - left + window] - 1]).digest()}
+                for left in range(low, high + 1)
             ]
 
-        return pd.Series([one(*r) for r in zip(words, before, step, low, high, strict=True)])
-
-    def cut(rows: DataFrame, step: int, low: Column, high: Column) -> DataFrame:
-        """Every ``step``-th window of each class, but for those from ``low`` to ``high``."""
-        found = F.explode(windows("words", "before", F.lit(step), low, high)).alias("w")
-        return rows.select("anchor", "class", "smallest", found).select("anchor", "class", "smallest", "w.left", "w.window")
-
-    def ends(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("anchor", "class").agg(F.min("left").alias("low"), F.max("left").alias("high"))
+        return pd.Series([one(*r) for r in zip(words, before, low, high, strict=True)])
 
     contexts = materialize(contexts, "contexts")
-    none = F.lit(1), F.lit(0)
-    least = (
-        cut(contexts, 1, *none)
-        .groupBy(*_WINDOW)
-        .agg(F.min("smallest").alias("least"), F.max("smallest").alias("most"))
+    runs = contexts.select("anchor", "class", "smallest", F.explode(wide("words", "before")).alias("w"))
+    runs = materialize(runs.select("anchor", "class", "smallest", "w.*"), "wide-windows")
+    # The left end and the words of a wide window tell its core and its right end.
+    groups = materialize(
+        runs.groupBy(*_WINDOW, "low", "core").agg(
+            F.min("smallest").alias("least"), F.max("smallest").alias("most"), F.min("class").alias("class")
+        ),
+        "wide-groups",
     )
+    ids = groups.groupBy("anchor", "core").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    cores = materialize(ids.where("least < most").select("anchor", "core"), "shared-cores")
+    group = ["anchor", "class", "least", "most", "low", F.col("left").alias("high"), F.col("window").alias("wide")]
+    cut = materialize(groups.join(cores, ["anchor", "core"]).select(*group), "open-groups")
+    cut = cut.join(contexts.select("anchor", "class", "words", "before"), ["anchor", "class"])
+    found = F.explode(single("words", "before", "low", "high")).alias("w")
+    cut = cut.select("anchor", "high", "wide", "least", "most", found)
+    cut = materialize(cut.select("anchor", "high", "wide", "least", "most", "w.*"), "single-windows")
+    least = cut.groupBy(*_WINDOW).agg(F.min("least").alias("least"), F.max("most").alias("most"))
     least = materialize(least.where("least < most").drop("most"), "windows")
-    some = materialize(ends(_repeated(cut(contexts, step, *none), least)), "some-windows")
-    rest = contexts.join(some, ["anchor", "class"], "left")
-    rest = cut(rest, 1, F.coalesce("low", none[0]), F.coalesce("high", none[1]))
+    inside = (
+        _repeated(cut.drop("most").withColumnRenamed("least", "smallest"), least)
+        .groupBy("anchor", F.col("high").alias("left"), F.col("wide").alias("window"), "smallest")
+        .agg(F.min("left").alias("low"), F.max("left").alias("high"))
+    )
+    inside = materialize(inside, "group-matches")
+    whole = _repeated(runs, groups.where("least < most").select(*_WINDOW, "least"))
+    part = runs.drop("low").join(inside, [*_WINDOW, "smallest"])
     return (
-        some.unionByName(ends(_repeated(rest, least)))
+        whole.select("anchor", "class", "low", F.col("left").alias("high"))
+        .unionByName(part.select("anchor", "class", "low", "high"))
         .groupBy("anchor", "class")
         .agg(F.max("high").alias("left"), (F.lit(reach) - F.min("low")).cast("int").alias("right"))
     )

@@ -138,6 +138,37 @@ def test_a_long_passage_in_very_many_contexts_is_not_joined_window_by_window(spa
     assert 39 <= few < sum(joined) / 2
 
 
+def test_windows_that_no_other_context_holds_are_not_made_one_by_one(spark, monkeypatch):
+    """The edge of a long passage in many contexts: most windows are in all of them or in one."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(12 + 16 + 34)]
+    made = []
+    for i in range(100):
+        own = [f"w{rng.random()}" for _ in range(22)]
+        made.append((7, f"c{i}".encode(), 200 + i // 2, 34, " ".join(own + passage).encode()))
+    # Of a part of the passage's words only, and of own words only after the seed.
+    made.append((7, b"short", 1, 3, " ".join(passage[9:60]).encode()))
+    made += [(7, f"a{i}".encode(), i, 12, " ".join(passage[:28] + [f"v{i}"] * 34).encode()) for i in range(2, 20)]
+    # One word less than a window.
+    made += [(7, f"less{i}".encode(), 300 + i, 11, " ".join(passage[1:50]).encode()) for i in range(2)]
+    found = substring_dedup.extensions([r[2] for r in made], [r[3] for r in made], [r[4].split() for r in made], 50, 16)
+    want = {r[1]: m for r, m in zip(made, found, strict=True) if m}
+    assert want[b"c0"] == want[b"c1"] == (3, 32) and want[b"c2"] == (12, 34) and not {b"a2", b"less1"} & set(want)
+    df = spark.createDataFrame(made, "anchor long, class binary, smallest long, before int, words binary")
+    windows = []
+    select = type(df).select
+
+    def counted(rows, *columns):
+        out = select(rows, *columns)
+        if any("explode(" in str(c) for c in columns):
+            windows.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(df), "select", counted)
+    assert {bytes(r["class"]): (r["left"], r["right"]) for r in substring_dedup._grouped(df, 50, 16).collect()} == want
+    assert len(made) < sum(windows) < 15 * len(made)
+
+
 def test_words():
     assert plain(b"\t a  b\x0b\x0cc\r\n") == b"a b c"
     assert word_starts(b"a b c").tolist() == [0, 2, 4, 6] and word_starts(b"").tolist() == [0]
